@@ -6,12 +6,14 @@ digest columns from the operator's own output.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, quality_rules, secret_scan, sharding
-from ._common import table
+from . import chat_format, quality_rules, secret_scan, sharding, simhash, token_store
+from ._common import scratch_dir, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +34,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(said(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -47,4 +53,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"), "level", "identical")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op6_chat_format)}
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{scratch_dir(spark)}/rasterloom-tokens-{uuid.uuid4().hex}"
+    token_store.write_tokens(table(spark, sf_dir, "documents"), path, token_store.TokenSpec(public_tokenizers.path("word_bpe_49k.json")))
+    return token_store.with_crc(token_store.read_tokens(spark, path))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op4_simhash, op6_chat_format, op8_token_store)}
