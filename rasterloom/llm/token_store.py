@@ -39,13 +39,13 @@ WRITER = {
 class TokenSpec:
     """``tokenizer``: path of the tokenizer's file; ``end_id`` follows each document.
 
-    ``memory_words``: words a worker remembers, about 200 bytes each; ``rows_per_part``
+    ``memory_words``: words and stems a worker remembers, about 250 bytes each; ``rows_per_part``
     bounds a part beside the session's number of shuffle partitions.
     """
 
     tokenizer: str
     end_id: int = 2
-    memory_words: int = 500_000
+    memory_words: int = 250_000
     rows_per_part: int = 100_000
 
 
