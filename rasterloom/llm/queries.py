@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, language_id, quality_rules, secret_scan, sharding, simhash, token_store
+from . import chat_format, decontaminate, language_id, quality_rules, secret_scan, sharding, simhash, token_store
 from ._common import scratch_dir, table
 
 
@@ -61,8 +61,12 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.with_crc(token_store.read_tokens(spark, path))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op4_simhash, op6_chat_format, op8_token_store, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op4_simhash, op6_chat_format, op8_token_store, op9_decontamination, op10_language_id)}
