@@ -44,3 +44,17 @@ def has_word(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Ids up to which an anti join sends its ids to every executor (16 bytes each); beyond, Spark joins by id.
+BROADCAST_IDS = 500_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of ``docs`` whose id isn't in ``ids`` (one column, no nulls); rows with a null id stay."""
+    listed = materialise(ids.toDF("__gone"), "gone")
+    count = listed.count()
+    if not count:
+        return docs
+    listed = F.broadcast(listed) if count <= BROADCAST_IDS else listed
+    return docs.join(listed, F.col(id_col) == F.col("__gone"), "left_anti")

@@ -36,9 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
+from ._common import materialise, without_ids
 
 _WORD = re.compile(r"\w+")
+#: Blocks of punctuation beyond ASCII; texts without it are split by a byte table.
+_FAR_MARKS = re.compile("[\u0080-\u00bf\u00d7\u00f7\u2000-\u2bff\u3000-\u303f\ufe30-\ufe6f\uff00-\uff0f]")
+_TABLE = bytes(b if b >= 128 or chr(b).isalnum() or b == ord("_") else 32 for b in range(256))
 
 
 @dataclass(frozen=True)
@@ -46,8 +49,8 @@ class LatentSpec:
     """A passage is two blocks of ``half`` words, one block further each time."""
 
     half: int = 16
-    rank: int = 128
-    oversample: int = 16
+    rank: int = 96
+    oversample: int = 8
     max_df: float = 0.01
     min_terms: int = 4
     min_cosine: float = 0.4
@@ -58,11 +61,15 @@ class LatentSpec:
     seed: int = 5
 
 
-def words(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+def words(text: str | None) -> list[bytes]:
+    """Lower-cased runs of letters, digits and underscores, as UTF-8."""
+    low = (text or "").lower()
+    if not low.isascii() and _FAR_MARKS.search(low):
+        low = " ".join(_WORD.findall(low))
+    return low.encode("utf-8", "replace").translate(_TABLE).split()
 
 
-def _encode(docs: DataFrame, vocabulary: dict[str, int], kind: str) -> DataFrame:
+def _encode(docs: DataFrame, vocabulary: dict[bytes, int], kind: str) -> DataFrame:
     """__id and __ids: the term numbers of all words as little-endian 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +145,7 @@ def _sketch(row: np.ndarray, term: np.ndarray, value: np.ndarray, g: np.ndarray,
     if not len(row):
         return
     starts = np.flatnonzero(np.diff(row, prepend=-1))
+    value = value.astype(g.dtype)
     y = np.add.reduceat(value[:, None] * g[term], starts, axis=0)
     order = np.argsort(term, kind="stable")
     which = np.cumsum(np.diff(row, prepend=row[0]) != 0)
@@ -150,6 +158,7 @@ def _directions(encoded: DataFrame, own: tuple, weight: np.ndarray, spec: Latent
     """Right singular vectors (terms x rank) of the corpus' and the benchmark's passages."""
     terms, width = len(weight), min(spec.rank + spec.oversample, len(weight))
     g = np.random.default_rng(spec.seed).standard_normal((terms, width))
+    light = g.astype(np.float32)  # for the passages, whose sums are then kept in double precision
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y, rows = np.zeros((terms + 1, width)), 0
@@ -160,7 +169,7 @@ def _directions(encoded: DataFrame, own: tuple, weight: np.ndarray, spec: Latent
             if len(hit):
                 a = _unit_rows(block[hit], ids[hit].astype(np.int64), weight)
                 rows += len(np.unique(a[0]))
-                _sketch(*a, g, y)
+                _sketch(*a, light, y)
         y[terms, 0] = rows
         some = np.flatnonzero(np.abs(y).sum(1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(y[some, j]) for j in range(width)]], ["term", *[f"y{j}" for j in range(width)]])
@@ -196,7 +205,73 @@ def lcs(item: list[int], text: list[int]) -> int:
     return len(item) - row.bit_count()
 
 
-def _find_block(docs: DataFrame, items: list[tuple[int, list[str]]], spec: LatentSpec, kind: str) -> DataFrame:
+class Searcher:
+    """The latent space, the items' passages in it, and the checks of candidates; plain numpy, sent to the executors."""
+
+    def __init__(self, space: np.ndarray, weight: np.ndarray, coded: list[list[int]], own: tuple, owner: np.ndarray, spec: LatentSpec):
+        queries = np.zeros((len(owner), space.shape[1]))
+        np.add.at(queries, own[0], own[2][:, None] * space[own[1]])
+        queries /= np.maximum(np.linalg.norm(queries, axis=1, keepdims=True), 1e-12)
+        self.queries = np.ascontiguousarray(queries.T.astype(np.float32))
+        self.lifted = (weight[:, None] * space).astype(np.float32)
+        self.weighted = weight > 0
+        self.coded, self.owner, self.spec = coded, owner, spec
+        self.keys = [frozenset(x for x in c if weight[x] > 0) for c in coded]
+        self.least = min(spec.min_terms, *(len(k) for k in self.keys)) if self.keys else 1
+
+    def candidates(self, ids: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(block, item passage, cosine) of passages near an item's passage; a passage is named by its first block."""
+        half = self.spec.half
+        block, first = _blocks(begin, half)
+        hit = np.flatnonzero(ids >= 0)
+        hit = hit[self.weighted[ids[hit]]]
+        if not len(hit):
+            return
+        blocks = int(first[-1])
+        count = np.bincount(block[hit], minlength=blocks + 1)
+        more = np.ones(blocks, bool)  # a document's last block is a passage of its own
+        more[first[1:][np.diff(first) > 0] - 1] = False
+        some = np.flatnonzero(count[:blocks] + more * count[1:] >= self.least)
+        starts = np.flatnonzero(np.diff(block[hit], prepend=-1))
+        sums = np.zeros((blocks + 1, self.lifted.shape[1]), np.float32)
+        sums[block[hit][starts]] = np.add.reduceat(self.lifted[ids[hit]], starts, axis=0)
+        for low in range(0, len(some), 4096):
+            w = some[low : low + 4096]
+            p = sums[w] + more[w, None] * sums[w + 1]
+            p /= np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
+            cosine = p @ self.queries
+            i, q = np.divmod(np.flatnonzero(cosine.ravel() >= self.spec.min_cosine), cosine.shape[1])
+            yield w[i], q, cosine[i, q]
+
+    def leaks(self, ids: np.ndarray, begin: np.ndarray) -> list[tuple]:
+        """(document, item, cosine, lcs, answer, first word, end word), the best region of each pair."""
+        half, spec, found = self.spec.half, self.spec, []
+        _, first = _blocks(begin, half)
+        pairs: dict[tuple[int, int], list] = {}
+        for w, q, c in self.candidates(ids, begin):
+            doc = np.searchsorted(first, w, side="right") - 1
+            for d, k, x, v in zip(doc.tolist(), self.owner[q].tolist(), w.tolist(), c.tolist(), strict=True):
+                pairs.setdefault((d, k), []).append((x, v))
+        for (d, k), at in pairs.items():
+            item, best, reach = self.coded[k], None, -1
+            for x, c in sorted(at):
+                start = int(begin[d]) + (x - int(first[d])) * half
+                low, high = max(int(begin[d]), start - len(item)), min(int(begin[d + 1]), start + 2 * half + len(item))
+                if high <= reach:
+                    continue
+                reach = high
+                region = ids[low:high].tolist()
+                answer = len(self.keys[k].intersection(region)) / len(self.keys[k])
+                if answer < spec.min_answer or (share := lcs(item, region) / len(item)) < spec.min_lcs:
+                    continue
+                if best is None or (share, c) > (best[1], best[0]):
+                    best = (c, share, answer, low - int(begin[d]), high - int(begin[d]))
+            if best:
+                found.append((d, k, *best))
+        return found
+
+
+def _find_block(docs: DataFrame, items: list[tuple[int, list[bytes]]], spec: LatentSpec, kind: str) -> DataFrame:
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
     coded = [[vocabulary[w] for w in ws] for _, ws in items]
     terms, half = len(vocabulary), spec.half
@@ -221,64 +296,16 @@ def _find_block(docs: DataFrame, items: list[tuple[int, list[str]]], spec: Laten
                 n += 1
     own = _unit_rows(np.array(row, np.int64), np.array(term, np.int64), weight)
     space = _directions(encoded, own, weight, spec)
-    queries = np.zeros((n, space.shape[1]))
-    np.add.at(queries, own[0], own[2][:, None] * space[own[1]])
-    norm = np.linalg.norm(queries, axis=1, keepdims=True)
-    queries = (queries / np.maximum(norm, 1e-12)).T.astype(np.float32)
-    lifted = (weight[:, None] * space).astype(np.float32)
-    owner = np.array(owner)
-    keys = [frozenset(x for x in c if weight[x] > 0) for c in coded]
-    # A passage is half inside the region that is verified; it must hold some of the terms that the region needs.
+    searcher = Searcher(space, weight, coded, own, np.array(owner), spec)
     ids_of = [i for i, _ in items]
-    least = 2 if min(len(k) for k in keys) >= spec.min_terms else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, ids, begin in _batches(batches):
-            found = list(_search(ids, begin))
+            found = searcher.leaks(ids, begin)
             docs_ = b.column("__id").take(pa.array([f[0] for f in found], pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [docs_, *[pa.array([f[j] for f in found], t) for j, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64()), (5, pa.int64()), (6, pa.int64()))]],
-                ["__id", "item_id", "cosine", "lcs", "answer", "first_word", "end_word"])
-
-    def _search(ids: np.ndarray, begin: np.ndarray) -> Iterator[tuple]:
-        block, first = _blocks(begin, half)
-        hit = np.flatnonzero(ids >= 0)
-        hit = hit[weight[ids[hit]] > 0]
-        if not len(hit):
-            return
-        blocks = int(first[-1])
-        count = np.bincount(block[hit], minlength=blocks + 1)
-        last = np.zeros(blocks, bool)
-        last[first[1:][np.diff(first) > 0] - 1] = True
-        count = count[:blocks] + np.where(last, 0, count[1:])
-        some = np.flatnonzero(count >= least)
-        starts = np.flatnonzero(np.diff(block[hit], prepend=-1))
-        sums = np.zeros((blocks + 1, lifted.shape[1]), np.float32)
-        sums[block[hit][starts]] = np.add.reduceat(lifted[ids[hit]], starts, axis=0)
-        pairs: dict[tuple[int, int], list] = {}
-        for low in range(0, len(some), 4096):
-            w = some[low : low + 4096]
-            p = sums[w] + np.where(last[w], 0, 1)[:, None] * sums[w + 1]
-            p /= np.maximum(np.linalg.norm(p, axis=1, keepdims=True), 1e-12)
-            cosine = p @ queries
-            i, q = np.nonzero(cosine >= spec.min_cosine)
-            for x, k, c in zip(w[i].tolist(), owner[q].tolist(), cosine[i, q].tolist(), strict=True):
-                pairs.setdefault((int(np.searchsorted(first, x, side="right")) - 1, k), []).append((x, c))
-        for (d, k), at in pairs.items():
-            item, best, reach = coded[k], None, -1
-            for x, c in sorted(at):
-                low = max(int(begin[d]), int(begin[d]) + (x - int(first[d])) * half - len(item))
-                high = min(int(begin[d + 1]), int(begin[d]) + (x - int(first[d])) * half + 2 * half + len(item))
-                if high <= reach:
-                    continue
-                reach = high
-                region = ids[low:high].tolist()
-                share = lcs(item, region) / len(item)
-                answer = len(keys[k].intersection(region)) / len(keys[k])
-                if share >= spec.min_lcs and answer >= spec.min_answer and (best is None or (share, c) > (best[1], best[0])):
-                    best = (c, share, answer, low - int(begin[d]), high - int(begin[d]))
-            if best:
-                yield (d, ids_of[k], *best)
+            columns = [docs_, pa.array([ids_of[f[1]] for f in found], pa.int64())]
+            columns += [pa.array([f[j] for f in found], t) for j, t in ((2, pa.float64()), (3, pa.float64()), (4, pa.float64()), (5, pa.int64()), (6, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["__id", "item_id", "cosine", "lcs", "answer", "first_word", "end_word"])
 
     return encoded.mapInArrow(run, f"__id {kind}, item_id long, cosine double, lcs double, answer double, first_word long, end_word long")
 
@@ -307,5 +334,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LatentSpec = LatentS
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, spec: LatentSpec = LatentSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
-    leaked = materialise(find_leaks(docs, benchmark, spec, id_col, text_col).select(F.col(id_col).alias("__leak")).distinct(), "leaked")
-    return docs.join(leaked, F.col(id_col).eqNullSafe(F.col("__leak")), "left_anti")
+    leaked = find_leaks(docs, benchmark, spec, id_col, text_col).select(id_col).where(F.col(id_col).isNotNull()).distinct()
+    return without_ids(docs, leaked, id_col)
