@@ -128,7 +128,7 @@ class GrayIndex:
             yield at + who, node
 
 
-def _union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def union_classes(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Joins the classes of a and b; parent holds each place's least member of its class."""
     while True:
         ra, rb = parent[a], parent[b]
@@ -167,7 +167,7 @@ def local_forest(codes: np.ndarray, nodes: np.ndarray, own: np.ndarray, d: int,
             q = np.repeat(w, width[g])
             place = np.arange(len(q)) - np.repeat(np.cumsum(width[g]) - width[g], width[g]) + np.repeat(cuts[g], width[g])
             near = np.bitwise_count(codes[q] ^ kept[place]) <= d
-            parent = _union(parent, q[near], members[place[near]])
+            parent = union_classes(parent, q[near], members[place[near]])
     moved = parent != np.arange(len(parent))
     return nodes[moved], nodes[parent[moved]]
 
