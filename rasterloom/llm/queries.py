@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, language_id, quality_rules, secret_scan, sharding, simhash, token_store
+from . import chat_format, decontaminate, language_id, license_scan, quality_rules, secret_scan, sharding, simhash, token_store
 from ._common import scratch_dir, table
 
 
@@ -38,6 +38,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("probability", "cover")})
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -69,4 +74,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op4_simhash, op6_chat_format, op8_token_store, op9_decontamination, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op4_simhash, op5_license_scan, op6_chat_format, op8_token_store, op9_decontamination, op10_language_id)}
