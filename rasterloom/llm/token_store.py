@@ -17,10 +17,13 @@ Only the named columns are read.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,7 @@ class TokenSpec:
 
     tokenizer: str
     end_id: int = 2
-    memory_words: int = 250_000
+    memory_words: int = 200_000
     rows_per_part: int = 100_000
 
 
@@ -53,82 +56,95 @@ class WordEncoder:
     """Ids of whole texts as little-endian 32-bit bytes, through the tokenizers library.
 
     A plain word (letters below U+0130, then full stops or commas) is put together from its
-    lower-cased letters and its tail, as the tokenizer lower-cases and splits there.
+    lower-cased stem and its tail, as the tokenizer lower-cases and splits there; stems go to
+    the library many at a time, past the steps of its pipeline that can't change them.
     """
 
     def __init__(self, path: str, memory_words: int):
-        from tokenizers import Tokenizer
-
-        own = Tokenizer.from_file(path)
-        self.encode = own.encode_batch_fast
-        vocab = own.get_vocab()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores already have a task each
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        whole = Tokenizer.from_file(path)
+        self.encode = whole.encode_batch_fast
+        plain = Tokenizer(whole.model)  # the same vocabulary and merges, held once
+        plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.encode_plain = plain.encode_batch_fast
+        vocab = whole.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {"": b""}
         self.room = memory_words
 
-    def _fresh(self, words: list[str]) -> list[bytes]:
-        got = self.encode(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+    def _any(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.encode(words, add_special_tokens=False)]
 
-    def _letters(self, stems: list[str]) -> list[bytes]:
-        """Ids of lower-case words of letters alone, encoded many to a text: each is one
-        pre-token, and the last of its ids is the only one that ends a word."""
+    def _stems(self, stems: list[str]) -> list[bytes]:
+        """Ids of lower-case words of letters, encoded many to a text: each is one pre-token,
+        and the last of its ids is the only one that ends a word."""
         out = []
-        for got in self.encode([" ".join(stems[i : i + 500]) for i in range(0, len(stems), 500)], add_special_tokens=False):
+        for got in self.encode_plain([" ".join(stems[i : i + 500]) for i in range(0, len(stems), 500)], add_special_tokens=False):
             ids = np.array(got.ids, "<u4")
             raw, stops = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             out += [raw[a:b] for a, b in zip([0, *stops], stops)]  # noqa: B905
         return out
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words not yet known. Stems are remembered while there is room."""
-        stems, found, waiting, fresh, odd = self.stems, {}, [], set(), []
+        """Ids of words not yet known. While there is room, stems are remembered, and whole words up to half of it."""
+        known, found, waiting, odd, tails = self.known, {}, [], [], {}
         for w in words:
             low = w.lower()
             stem = low.rstrip(".,")
             if stem.isalpha() and (w.isascii() or max(w) < "İ"):
                 tail = low[len(stem) :]
-                if (ids := stems.get(stem)) is not None and tail in stems:
-                    found[w] = ids + stems[tail]
+                if tail and tail not in tails:
+                    tails[tail] = self._any([tail])[0]
+                if (ids := known.get(stem)) is not None:
+                    found[w] = ids + tails[tail] if tail else ids
                 else:
                     waiting.append((w, stem, tail))
-                    fresh.add(stem)
-                    if tail not in stems:
-                        stems[tail] = self._fresh([tail])[0]
             else:
                 odd.append(w)
-        fresh = [s for s in fresh if s not in stems]
-        new = dict(zip(fresh, self._letters(fresh), strict=True))
+        fresh = list({s for _, s, _ in waiting})
+        new = dict(zip(fresh, self._stems(fresh), strict=True))
         for w, stem, tail in waiting:
-            found[w] = (new[stem] if stem in new else stems[stem]) + stems[tail]
-        if len(stems) < self.room:
-            stems.update(new)
-        found.update(zip(odd, self._fresh(odd), strict=True))
+            found[w] = new[stem] + tails[tail] if tail else new[stem]
+        found.update(zip(odd, self._any(odd), strict=True))
+        if len(known) < self.room:
+            known.update(new)
+        if len(known) < self.room // 2:
+            known.update(found)
         return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [_split(t) for t in texts]
-        known = self.known
-        found = self._learn(set().union(*split).difference(known)) if split else {}
-        full = len(known) >= self.room
-        known.update(found)
-        out = [b"".join(map(known.__getitem__, ws)) for ws in split]
-        if full:
-            for w in found:
-                del known[w]
+        flat = list(chain.from_iterable(split))
+        ids = list(map(self.known.get, flat))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        if gaps:
+            found = self._learn({flat[i] for i in gaps})
+            for i in gaps:
+                ids[i] = found[flat[i]]
+        out, at = [], 0
+        for ws in split:
+            out.append(b"".join(ids[at : at + len(ws)]))
+            at += len(ws)
         return out
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, memory_words: int) -> WordEncoder:
+    """The encoder of this Python worker: what it has learned serves all tasks that the worker runs."""
+    return WordEncoder(path, memory_words)
+
+
 #: Separators for Python's split() that aren't white space for the tokenizer.
-_CONTROLS = re.compile("[\x1c-\x1f]")
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 _RUN = re.compile("[^ \t\n\x0b\x0c\r]+")
 
 
 def _split(text: str) -> list[str]:
     """Words between characters that the tokenizer drops as white space."""
-    return text.split() if not _CONTROLS.search(text) else _RUN.findall(text)
+    return _RUN.findall(text) if any(c in text for c in _CONTROLS) else text.split()
 
 
 def write_tokens(docs: DataFrame, path: str, spec: TokenSpec, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -141,10 +157,10 @@ def write_tokens(docs: DataFrame, path: str, spec: TokenSpec, id_col: str = "doc
     kind = docs.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, at, end = WordEncoder(spec.tokenizer, spec.memory_words), 0, np.array([spec.end_id], "<u4").tobytes()
+        words, at, end = worker_encoder(spec.tokenizer, spec.memory_words), 0, np.array([spec.end_id], "<u4").tobytes()
         for whole in batches:
-            for low in range(0, whole.num_rows, 1024):  # some texts at a time, so that few ids are held twice
-                b = whole.slice(low, 1024)
+            for low in range(0, whole.num_rows, 256):  # some texts at a time, so that few ids are held twice
+                b = whole.slice(low, 256)
                 ids = [x + end for x in words(b.column("__text").to_pylist())]
                 n = np.array([len(x) >> 2 for x in ids], np.int64)
                 stops = np.concatenate([[0], np.cumsum(n)])
@@ -154,7 +170,13 @@ def write_tokens(docs: DataFrame, path: str, spec: TokenSpec, id_col: str = "doc
                 at += int(stops[-1])
 
     out = dealt.mapInArrow(encode, f"doc_id {kind}, part int, local_start long, n_tokens long, tokens array<int>")
-    out.write.options(**WRITER).parquet(path)
+    conf, name = spark.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, "512")  # texts can be long; this bounds what the JVM and Python hold at once
+    try:
+        out.write.options(**WRITER).parquet(path)
+    finally:
+        conf.set(name, before)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
