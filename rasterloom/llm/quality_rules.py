@@ -161,5 +161,8 @@ def filter_documents(docs: DataFrame, rules: QualityRules = QualityRules(), id_c
     rejected = host_verdicts(metrics, rules).where("host_rejected").select("__host")
     row = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text"), F.col(host_col).cast("string").alias("__host"))
     own = document_metrics(row, rules, [F.col("__row"), F.col("__host")])
-    kept = own.where(~F.col("base_failed")).join(rejected, "__host", "left_anti")
+    # A filter on the metrics would be pushed down and repeat them inside their own lambdas; Spark
+    # doesn't push one below a column that isn't deterministic.
+    own = own.withColumn("__at", F.monotonically_increasing_id()).where(~F.col("base_failed") & (F.col("__at") >= 0))
+    kept = own.join(rejected, "__host", "left_anti")
     return kept.select("__row.*")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import chat_format, decontaminate, language_id, license_scan, quality_rules, secret_scan, sharding, simhash, token_store
+from . import chat_format, decontaminate, language_id, license_scan, mixing, quality_rules, secret_scan, sharding, simhash, token_store
 from ._common import scratch_dir, table
 
 
@@ -58,6 +58,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"), "level", "identical")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.withColumns({c: F.round(c, 6) for c in (*[f"p_{d}" for d in mixing.DOMAINS], "rate")})
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,4 +79,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op4_simhash, op5_license_scan, op6_chat_format, op8_token_store, op9_decontamination, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_sharding, op3_secret_scan, op4_simhash, op5_license_scan, op6_chat_format, op7_mixing, op8_token_store, op9_decontamination, op10_language_id)}
