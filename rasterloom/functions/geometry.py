@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RING = "array<struct<x:double,y:double>>"
 
@@ -66,7 +67,7 @@ def simple_ring(points: np.ndarray) -> bool:
     return not meets.any() and not folded.any()
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def is_valid_ring(rings: pd.Series) -> pd.Series:
     """Whether a ring could bound a polygon as it stands; nothing is repaired."""
     out = []

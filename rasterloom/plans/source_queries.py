@@ -75,11 +75,11 @@ def polygon_validity(spark, sf_dir):
     return rows.select("id", "valid", F.when(F.col("valid"), F.abs(geometry.signed_area(ring))).alias("area"), F.when(F.col("valid"), geometry.contains(ring, F.lit(1.0), F.lit(0.5))).alias("inside"))
 
 
-@query("SELECT id, CAST(ring AS INTEGER) AS ring, CAST(points AS INTEGER) AS points, CAST(area AS DOUBLE) AS area FROM (VALUES ('a', 0, 5, 16), ('a', 1, 5, 1)) AS t(id, ring, points, area)")
+@query("SELECT id, CAST(ring AS INTEGER) AS ring, CAST(vertices AS INTEGER) AS vertices, CAST(area AS DOUBLE) AS area FROM (VALUES ('a', 0, 5, 16), ('a', 1, 5, 1)) AS t(id, ring, vertices, area)")
 def geojson_polygons(spark, sf_dir):
     text = '{"type":"FeatureCollection","features":[{"id":"a","properties":{"k":"v"},"geometry":{"type":"Polygon","coordinates":[[[0,0],[4,0],[4,4],[0,4],[0,0]],[[1,1],[2,1],[2,2],[1,2],[1,1]]]}},{"id":"p","properties":{},"geometry":{"type":"Point","coordinates":[1,2]}}]}'
     rings = tables.polygon_rings(tables.geojson_features(spark.createDataFrame([(text,)], "text string")))
-    return rings.select("id", "ring", F.size("points").alias("points"), F.abs(geometry.signed_area(F.col("points"))).alias("area"))
+    return rings.select("id", "ring", F.size("points").alias("vertices"), F.abs(geometry.signed_area(F.col("points"))).alias("area"))
 
 
 @query("SELECT path, reason FROM (VALUES ('b', 'version'), ('c', 'unreadable'), ('d', 'incomplete'), ('e', 'counts')) AS t(path, reason)")
