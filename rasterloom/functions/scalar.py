@@ -25,7 +25,8 @@ def finite_or_null(v: Column) -> Column:
 
 def twelve_digits(v: Column) -> Column:
     """Text with 12 significant digits; blank where not finite."""
-    return F.coalesce(F.format_string("%.12g", finite_or_null(v)), F.lit(""))
+    finite = finite_or_null(v)
+    return F.when(finite.isNull(), "").otherwise(F.format_string("%.12g", finite))
 
 
 def significant(v: Column, digits: int = 4) -> Column:
