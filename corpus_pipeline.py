@@ -36,8 +36,8 @@ TARGETS = {"high": 0.92, "low": 0.05, "toxic": 0.03}
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are kept by their rates; the budget is the largest that repeats nothing."""
-    return mixing.emit(docs, table(spark, sf_dir, "labels"), mixing.MixSpec(targets=TARGETS, budget="no repeats", max_rate=1.0))
+    """Documents are kept by their rates; the budget keeps what is of high quality and repeats nothing."""
+    return mixing.emit(docs, table(spark, sf_dir, "labels"), mixing.MixSpec(targets=TARGETS, budget="keep high", max_rate=1.0))
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

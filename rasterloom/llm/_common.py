@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return (named or f"file://{os.path.join(tempfile.gettempdir(), 'rasterloom-scratch')}").rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """What runs inside hands rows to Python this many at a time, as texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -28,7 +41,8 @@ def materialise(df: DataFrame, tag: str, **options: str) -> DataFrame:
     caller's checkpoint area and is cleaned with it.
     """
     path = f"{scratch_dir(df.sparkSession)}/rasterloom-{tag}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,8 +2,8 @@
 
 Each round is two joins and aggregations and is written to the shared folder; the number
 of rounds grows with the logarithm of the longest path. Nothing but one emptiness test a
-round reaches the driver. A hot node's minimum is pre-aggregated, and the joins that bring
-it back stand alone above their exchanges, so that Spark can split a hot partition.
+round reaches the driver. A hot node's minimum is pre-aggregated and written, so that the
+join that brings it back stands alone above two exchanges and Spark can split a hot partition.
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ from ._common import materialise
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select("v", "u"))
-    least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+    least = materialise(both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m")), "least")
     return both.join(least, "x").where(F.col("y") > F.col("x")).select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -3,7 +3,7 @@
 1. The benchmark's terms are the vocabulary; every document becomes the sequence of its
    words' term numbers (-1 for any other word), written once in the shared folder.
 2. Document frequencies over all passages give TF-IDF weights; terms in more than
-   ``max_df`` of the passages carry none, unless an item would be left with too few.
+   ``max_df`` of the passages, and in more than ``common_df`` of them, carry none, unless an item would be left with too few.
 3. A distributed randomised SVD of all unit TF-IDF passages, the benchmark's own stacked
    below with equal total weight: each task sums A'(A G) for a random G, terms by columns,
    Spark adds them up, and the driver takes the Nystrom decomposition of that one sketch.
@@ -52,6 +52,7 @@ class LatentSpec:
     rank: int = 96
     oversample: int = 8
     max_df: float = 0.01
+    common_df: int = 50
     min_terms: int = 4
     min_cosine: float = 0.4
     min_lcs: float = 0.6
@@ -278,7 +279,7 @@ def _find_block(docs: DataFrame, items: list[tuple[int, list[bytes]]], spec: Lat
     encoded = materialise(_encode(docs, vocabulary, kind), "terms", compression="zstd")
     df, passages = _frequencies(encoded, terms, spec)
     weight = np.log((1 + passages) / (1 + df)) + 1
-    stop = df > spec.max_df * passages
+    stop = df > max(spec.max_df * passages, spec.common_df)
     for c in coded:  # an item keeps its rarest terms where too few are below max_df
         t = np.unique(c)
         if (~stop[t]).sum() < spec.min_terms:
@@ -327,7 +328,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LatentSpec = LatentS
     if not found:
         empty = f"__id {kind}, item_id long, cosine double, lcs double, answer double, first_word long, end_word long"
         found = [docs.sparkSession.createDataFrame([], empty)]
-    leaks = reduce(DataFrame.union, found)
+    leaks = materialise(reduce(DataFrame.union, found), "leaks")
     best = leaks.groupBy("__id", "item_id").agg(F.max(F.struct("lcs", "cosine", "answer", "first_word", "end_word")).alias("b"))
     return best.select(F.col("__id").alias(id_col), "item_id", "b.cosine", "b.lcs", "b.answer", "b.first_word", "b.end_word")
 

@@ -36,7 +36,7 @@ DOMAINS = ("high", "low", "toxic")
 @dataclass(frozen=True)
 class MixSpec:
     """``targets``: shares of the budget by domain. ``budget``: tokens in all; None: the tokens
-    there are; "no repeats": the most that can be had without a rate over 1 in any domain."""
+    there are; "keep <domain>": so many that the named domain's own tokens are its share."""
 
     targets: dict[str, float] = field(default_factory=lambda: {"high": 0.8, "low": 0.17, "toxic": 0.03})
     budget: float | str | None = None
@@ -155,56 +155,69 @@ def _rates(p: np.ndarray, history: list[np.ndarray], spec: MixSpec) -> np.ndarra
     return r
 
 
-PAIRS = [(i, j) for i in range(len(DOMAINS)) for j in range(i, len(DOMAINS))]
+def _collect(thin: DataFrame, numbers: int, run) -> np.ndarray:
+    """Sum over all tasks of the row of numbers that ``run`` adds up from (posteriors, tokens) blocks."""
+    names = [f"s{j}" for j in range(numbers)]
 
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(numbers)
+        for x in batches:
+            total += run(x[[f"p_{d}" for d in DOMAINS]].to_numpy(), x["__tokens"].to_numpy())
+        yield pd.DataFrame([total], columns=names)
 
-def _sums(thin: DataFrame, history: list[np.ndarray], spec: MixSpec) -> tuple[np.ndarray, np.ndarray]:
-    """(expected tokens of each domain under the rates, Gram matrix of the posteriors of the
-    documents that no bound holds, weighted by tokens); one row of numbers from each task."""
+    rows = thin.drop("__id").mapInPandas(task, ", ".join(f"{c} double" for c in names))
+    return np.array([float(v or 0) for v in rows.agg(*[F.sum(c) for c in names]).first()])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, gram = np.zeros(len(DOMAINS)), np.zeros((len(DOMAINS), len(DOMAINS)))
-        for x in batches:
-            p, tokens = x[[f"p_{d}" for d in DOMAINS]].to_numpy(), x["__tokens"].to_numpy()
-            r = _rates(p, history, spec)
-            total += (r * tokens) @ p
-            gram += (p * (tokens * ((r > 0) & (r < spec.max_rate) | (len(history) == 0)))[:, None]).T @ p
-        yield pd.DataFrame([[*total, *[gram[i, j] for i, j in PAIRS]]], columns=names)
 
-    names = [f"s{j}" for j in range(len(DOMAINS) + len(PAIRS))]
-    sums = thin.drop("__id").mapInPandas(run, ", ".join(f"{c} double" for c in names))
-    got = np.array([float(v or 0) for v in sums.agg(*[F.sum(c) for c in names]).first()])
-    gram = np.zeros((len(DOMAINS), len(DOMAINS)))
-    for (i, j), v in zip(PAIRS, got[len(DOMAINS) :], strict=True):
-        gram[i, j] = gram[j, i] = v
-    return got[: len(DOMAINS)], gram
+def _sums(thin: DataFrame, history: list[np.ndarray], spec: MixSpec) -> np.ndarray:
+    """Expected tokens of each domain under the rates."""
+    return _collect(thin, len(DOMAINS), lambda p, tokens: (_rates(p, history, spec) * tokens) @ p)
+
+
+def _gram(thin: DataFrame, history: list[np.ndarray], away: np.ndarray, spec: MixSpec) -> np.ndarray:
+    """Sum of tokens x p p' over the documents that can follow the residual ``away``: those that
+    no bound holds, and those at a bound that it leads away from."""
+
+    def run(p: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        r, pull = _rates(p, history, spec), p @ away
+        free = ((r > 0) | (pull < 0)) & ((r < spec.max_rate) | (pull > 0))
+        return ((p * (tokens * free)[:, None]).T @ p).ravel()
+
+    return _collect(thin, len(DOMAINS) ** 2, run).reshape(len(DOMAINS), -1)
 
 
 def fit_rates(thin: DataFrame, spec: MixSpec) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(history of the solver, targets in tokens, expected tokens reached).
 
     The gradient of half the squared distance is taken in the metric of the Gram matrix of
-    the documents that no bound holds, which makes a step exact while the bounds hold the
-    same documents; the projection is onto [0, max_rate].
+    the documents that are free to follow it, damped, which makes a step nearly exact while the
+    bounds hold the same documents; the projection is onto [0, max_rate]. A step that does
+    not come nearer is refused and the damping raised, so targets that the bounds put out
+    of reach are approached and not overshot.
     """
-    present, gram = _sums(thin, [], spec)
+    present = _sums(thin, [], spec)
     share = np.array([spec.targets.get(d, 0.0) for d in DOMAINS])
     share = share / share.sum()
     total = present.sum()
-    if spec.budget == "no repeats":
-        total = float(np.min(np.where(share > 0, present / np.maximum(share, 1e-12), np.inf)))
+    if isinstance(spec.budget, str):
+        kept = DOMAINS.index(spec.budget.removeprefix("keep "))
+        total = float(present[kept] / share[kept])
     elif spec.budget is not None:
         total = float(spec.budget)
     goal = share * total
-    history, sums, last = [], present, np.inf
-    floor = 1e-6 * np.trace(gram) * np.eye(len(DOMAINS))
+    history, sums, damp, refused = [], present, 1e-4, 0
+    gram = _gram(thin, history, sums - goal, spec)
+    unit = max(np.trace(gram), 1.0) / len(DOMAINS) * np.eye(len(DOMAINS))
     for _ in range(spec.rounds if present.sum() else 0):
-        miss = np.abs(sums - goal).max()
-        if miss <= spec.tolerance * max(total, 1.0) or miss > 0.9 * last:  # met, or as near as the bounds allow
+        if np.abs(sums - goal).max() <= spec.tolerance * max(total, 1.0) or refused > 4:
             break
-        last = miss
-        history.append(np.linalg.solve(gram + floor, sums - goal))
-        sums, gram = _sums(thin, history, spec)
+        tried = [*history, np.linalg.solve(gram + damp * unit, sums - goal)]
+        new = _sums(thin, tried, spec)
+        if np.linalg.norm(new - goal) < 0.999 * np.linalg.norm(sums - goal):
+            history, sums, damp, refused = tried, new, max(damp / 4, 1e-6), 0
+            gram = _gram(thin, history, sums - goal, spec)
+        else:  # too long a step, or as near as the bounds allow
+            damp, refused = damp * 10, refused + 1
     return history, goal, sums
 
 

@@ -40,6 +40,7 @@ class NearCopySpec:
     check_words: int = 4
     check_bits: int = 50
     values_per_task: int = 16
+    codes_per_task: int = 10_000
 
 
 def signature(text: str | None, spec: NearCopySpec) -> bytes:
@@ -108,7 +109,9 @@ def copy_groups(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: st
     signed = docs.select(F.col(id_col).alias("__id"), sign(F.coalesce(F.col(text_col), F.lit(""))).alias("__sig")).where("__id IS NOT NULL")
     signed = materialise(signed, "signatures")
     nodes = materialise(signed.groupBy("__sig").agg(F.min("__id").cast("long").alias("__node")), "nodes")
-    per, tables, checks = spec.values_per_task, spec.tables, spec.check_words
+    # Byte values searched by one task: fewer where there are more signatures. It changes no result.
+    per = max(1, min(spec.values_per_task, spec.codes_per_task * 256 // max(1, nodes.count())))
+    tables, checks = spec.tables, spec.check_words
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
