@@ -56,7 +56,7 @@ def index_bytes(slide_id: str = "s" * 32) -> bytes:
 
 
 @query("SELECT CAST(a AS INTEGER) AS level, CAST(b AS INTEGER) AS filter, CAST(c AS BIGINT) AS image_index, CAST(d AS BIGINT) AS \"offset\", CAST(e AS BIGINT) AS length, CAST(f AS BIGINT) AS file_number FROM (VALUES (0, 0, 4, 100, 10, 0), (0, 0, 5, 200, 20, 0), (0, 0, 9, 300, 30, 1), (1, 2, 7, 4000000000, 40, 2)) AS t(a, b, c, d, e, f)")
-def mirax_index_scan(spark, sf_dir):
+def slide_index_scan(spark, sf_dir):
     files = spark.createDataFrame([("Index.dat", bytearray(index_bytes()))], "path string, content binary")
     return slide_index.scan_index_files(files, "s" * 32, [2, 3], [0, 0], 0, 1)
 
