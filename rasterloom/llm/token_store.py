@@ -18,18 +18,19 @@ Only the named columns are read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._common import small_batches
+
 #: The writer's properties. Version 2 pages have delta encodings and page indexes.
 WRITER = {
     "parquet.writer.version": "PARQUET_2_0", "parquet.block.size": str(16 << 20), "parquet.page.size": str(256 << 10),
@@ -48,14 +49,18 @@ class TokenSpec:
 
     tokenizer: str
     end_id: int = 2
-    memory_words: int = 200_000
+    memory_words: int = 300_000
     rows_per_part: int = 100_000
 
 
+#: Marks that one pre-token holds together behind letters. Apostrophes begin contractions, and angle brackets special tokens.
+TAIL = ".,!?;:%$#*&|()-+=/_~"
+
+
 class WordEncoder:
-    """Ids of whole texts as little-endian 32-bit bytes, through the tokenizers library.
+    """Ids of whole texts, through the tokenizers library.
 
-    A plain word (letters below U+0130, then full stops or commas) is put together from its
+    A plain word (letters below U+0130, then marks of TAIL) is put together from its
     lower-cased stem and its tail, as the tokenizer lower-cases and splits there; stems go to
     the library many at a time, past the steps of its pipeline that can't change them.
     """
@@ -93,7 +98,7 @@ class WordEncoder:
         known, found, waiting, odd, tails = self.known, {}, [], [], {}
         for w in words:
             low = w.lower()
-            stem = low.rstrip(".,")
+            stem = low.rstrip(TAIL)
             if stem.isalpha() and (w.isascii() or max(w) < "İ"):
                 tail = low[len(stem) :]
                 if tail and tail not in tails:
@@ -115,20 +120,28 @@ class WordEncoder:
             known.update(found)
         return found
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [_split(t) for t in texts]
-        flat = list(chain.from_iterable(split))
-        ids = list(map(self.known.get, flat))
+    def __call__(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one behind the other, each with the end id; where each text's ids begin, and the end).
+
+        Arrow splits the texts and numbers their distinct words; Python sees each of those
+        once, and numpy lays out the ids.
+        """
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        ids = list(map(self.known.get, words))
         gaps = [i for i, x in enumerate(ids) if x is None]
         if gaps:
-            found = self._learn({flat[i] for i in gaps})
+            found = self._learn({words[i] for i in gaps})
             for i in gaps:
-                ids[i] = found[flat[i]]
-        out, at = [], 0
-        for ws in split:
-            out.append(b"".join(ids[at : at + len(ws)]))
-            at += len(ws)
-        return out
+                ids[i] = found[words[i]]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        own = size[place]
+        upto = np.concatenate([[0], np.cumsum(own)])
+        tokens = pool[np.repeat(first[place] - upto[:-1], own) + np.arange(upto[-1])]
+        ends = upto[np.cumsum(pc.list_value_length(lists).to_numpy())] if len(texts) else np.zeros(0, np.int64)
+        return np.insert(tokens, ends, end_id), np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
 
 
 @lru_cache(maxsize=1)
@@ -137,16 +150,6 @@ def worker_encoder(path: str, memory_words: int) -> WordEncoder:
     return WordEncoder(path, memory_words)
 
 
-#: Separators for Python's split() that aren't white space for the tokenizer.
-_CONTROLS = "\x1c\x1d\x1e\x1f"
-_RUN = re.compile("[^ \t\n\x0b\x0c\r]+")
-
-
-def _split(text: str) -> list[str]:
-    """Words between characters that the tokenizer drops as white space."""
-    return _RUN.findall(text) if any(c in text for c in _CONTROLS) else text.split()
-
-
 def write_tokens(docs: DataFrame, path: str, spec: TokenSpec, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the store to ``path``, a folder that the executors share."""
     spark = docs.sparkSession
@@ -157,26 +160,17 @@ def write_tokens(docs: DataFrame, path: str, spec: TokenSpec, id_col: str = "doc
     kind = docs.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, at, end = worker_encoder(spec.tokenizer, spec.memory_words), 0, np.array([spec.end_id], "<u4").tobytes()
-        for whole in batches:
-            for low in range(0, whole.num_rows, 256):  # some texts at a time, so that few ids are held twice
-                b = whole.slice(low, 256)
-                ids = [x + end for x in words(b.column("__text").to_pylist())]
-                n = np.array([len(x) >> 2 for x in ids], np.int64)
-                stops = np.concatenate([[0], np.cumsum(n)])
-                tokens = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("part"), pa.array(at + stops[:-1]), pa.array(n), tokens],
-                                                 ["doc_id", "part", "local_start", "n_tokens", "tokens"])
-                at += int(stops[-1])
+        words, at = worker_encoder(spec.tokenizer, spec.memory_words), 0
+        for b in batches:
+            ids, stops = words(b.column("__text"), spec.end_id)
+            tokens = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(ids.view("<i4")))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("part"), pa.array(at + stops[:-1]), pa.array(np.diff(stops)), tokens],
+                                             ["doc_id", "part", "local_start", "n_tokens", "tokens"])
+            at += int(stops[-1])
 
     out = dealt.mapInArrow(encode, f"doc_id {kind}, part int, local_start long, n_tokens long, tokens array<int>")
-    conf, name = spark.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(name)
-    conf.set(name, "512")  # texts can be long; this bounds what the JVM and Python hold at once
-    try:
+    with small_batches(spark, 1024):
         out.write.options(**WRITER).parquet(path)
-    finally:
-        conf.set(name, before)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
