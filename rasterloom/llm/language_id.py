@@ -17,7 +17,6 @@ predicted alike; an empty table gives an empty result. Other columns aren't read
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +28,6 @@ from pyspark.sql.window import Window
 
 #: The answer where there is nothing to read.
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -219,7 +217,7 @@ def predict(docs: DataFrame, tagger: ByteTagger | None, id_col: str = "doc_id",
                 b = whole.slice(low, 512)
                 texts = b.column("__text").to_pylist()
                 lang, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-                read = [i for i, t in enumerate(texts) if tagger and t and _LETTER.search(t)]
+                read = [i for i, t in enumerate(texts) if tagger and t and any(map(str.isalpha, t))]
                 if read:
                     p = tagger.documents([texts[i].encode() for i in read])
                     best = p.argmax(1)
