@@ -163,6 +163,13 @@ class ByteTagger:
                 b += 0.001 * (g * g - b)
                 p -= rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-8)
 
+    def label_positions(self, text: bytes) -> np.ndarray:
+        """The language's number for each byte of a text."""
+        size = self.spec.segment
+        data = np.frombuffer(text.ljust(-(-len(text) // size) * size), np.uint8).reshape(-1, size)
+        best = [self.positions(np.ascontiguousarray(data[at : at + 4096].T)).argmax(-1).T.ravel() for at in range(0, len(data), 4096)]
+        return np.concatenate([*best, np.zeros(0, np.int64)])[: len(text)]
+
     def documents(self, texts: list[bytes], block: int = 4096) -> np.ndarray:
         """Mean probabilities of each non-empty text over all its bytes."""
         size = self.spec.segment
@@ -229,6 +236,27 @@ def predict(docs: DataFrame, tagger: ByteTagger | None, id_col: str = "doc_id",
     return rows.mapInArrow(tag, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
+def label_spans(docs: DataFrame, tagger: ByteTagger, id_col: str = "doc_id", text_col: str = "text", least: int = 24) -> DataFrame:
+    """id, start, end, lang: runs of at least ``least`` bytes of one label (bytes of the UTF-8 text, end exclusive)."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            who, rows = [], []
+            for i, t in enumerate(b.column("__text").to_pylist()):
+                label = tagger.label_positions(t.encode())
+                cuts = np.flatnonzero(np.diff(label, prepend=-1))
+                for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(label)], strict=True) if len(label) else ():
+                    if z - a >= least:
+                        who.append(i)
+                        rows.append((a, z, tagger.langs[label[a]]))
+            yield pa.RecordBatch.from_arrays([b.column("__id").take(pa.array(who, pa.int64())), *[pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.string()))]],
+                                             [id_col, "start", "end", "lang"])
+
+    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, start long, end long, lang string")
+
+
 def held_out(id_col: str = "doc_id"):
     """The rows that training leaves out: crc32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -270,6 +270,19 @@ def test_languages_held_out(spark, sf):
     assert sum(r.lang_pred == lang[r.doc_id] for r in out) >= 0.95 * len(out) > 0
 
 
+def test_positions_are_labelled(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").selectExpr("doc_id AS __id", "text AS __text", "lang AS __lang")
+    tagger = language_id.train(known, language_id.LanguageSpec(steps=150))
+    pick = {r["lang"]: r["text"] for r in sorted(rows_of(sf, "documents"), key=lambda r: len(r["text"])) if r["lang"] in ("en", "fr") and len(r["text"]) > 1500}
+    first, second = pick["en"][:1200], pick["fr"][:1200]
+    label = tagger.label_positions((first + " " + second).encode())
+    assert len(label) == len((first + " " + second).encode()) and len(tagger.label_positions(b"")) == 0
+    assert (label[:1200] == tagger.langs.index("en")).mean() > 0.85 and (label[-1200:] == tagger.langs.index("fr")).mean() > 0.85
+    spans = language_id.label_spans(spark.createDataFrame([(1, first + " " + second), (2, None)], "doc_id long, text string"), tagger).collect()
+    assert {"en", "fr"} <= {s.lang for s in spans} and all(s.doc_id == 1 and s.end - s.start >= 24 for s in spans)
+
+
 def test_mixing_meets_its_targets(spark, sf):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     spec = mixing.MixSpec()
