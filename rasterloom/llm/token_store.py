@@ -17,6 +17,7 @@ Only the named columns are read.
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections.abc import Iterator
@@ -49,7 +50,7 @@ class TokenSpec:
 
     tokenizer: str
     end_id: int = 2
-    memory_words: int = 300_000
+    memory_words: int = 450_000
     rows_per_part: int = 100_000
 
 
@@ -128,20 +129,31 @@ class WordEncoder:
         """
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        words, place = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        ids = list(map(self.known.get, words))
-        gaps = [i for i, x in enumerate(ids) if x is None]
-        if gaps:
-            found = self._learn({words[i] for i in gaps})
-            for i in gaps:
-                ids[i] = found[words[i]]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        words = coded.dictionary.to_pylist()
+        collecting = gc.isenabled()
+        gc.disable()  # strings and bytes by the hundred thousand, and no cycles
+        try:
+            ids = list(map(self.known.get, words))
+            gaps = [i for i, x in enumerate(ids) if x is None]
+            if gaps:
+                found = self._learn({words[i] for i in gaps})
+                for i in gaps:
+                    ids[i] = found[words[i]]
+        finally:
+            if collecting:
+                gc.enable()
+        # The end id is one more word, behind the last word of each text.
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)
+        place = np.insert(coded.indices.to_numpy(), ends, len(ids))
+        ids.append(np.array([end_id], "<u4").tobytes())
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) >> 2
+        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size, dtype=np.int32) - size
         own = size[place]
-        upto = np.concatenate([[0], np.cumsum(own)])
-        tokens = pool[np.repeat(first[place] - upto[:-1], own) + np.arange(upto[-1])]
-        ends = upto[np.cumsum(pc.list_value_length(lists).to_numpy())] if len(texts) else np.zeros(0, np.int64)
-        return np.insert(tokens, ends, end_id), np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+        upto = np.zeros(len(own) + 1, np.int32)
+        np.cumsum(own, out=upto[1:])
+        at = np.repeat(first[place] - upto[:-1], own)
+        at += np.arange(upto[-1], dtype=np.int32)
+        return pool[at], upto[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])].astype(np.int64)
 
 
 @lru_cache(maxsize=1)
