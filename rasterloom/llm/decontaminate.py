@@ -2,15 +2,18 @@
 
 1. The benchmark's terms are the vocabulary; every document becomes the sequence of its
    words' term numbers (-1 for any other word), written once in the shared folder.
-2. Document frequencies over all passages give TF-IDF weights; terms in more than
-   ``max_df`` of the passages, and in more than ``common_df`` of them, carry none, unless an item would be left with too few.
+2. Document frequencies over the passages of all distinct texts give TF-IDF weights, so that a
+   large group of copies makes no term common; terms in more than ``max_df`` of the passages, and
+   in more than ``common_df`` of them, carry none, except that an item keeps the rarest
+   ``min_share`` of its terms (``min_terms`` at least).
 3. A distributed randomised SVD of all unit TF-IDF passages, the benchmark's own stacked
    below with equal total weight: each task sums A'(A G) for a random G, terms by columns,
    Spark adds them up, and the driver takes the Nystrom decomposition of that one sketch.
    Only matrices of the vocabulary's height and the sketch's width reach the driver.
 4. Overlapping passages of all documents are projected and compared with all projected
-   item passages; those with a cosine of ``min_cosine`` are candidates. Passages with fewer
-   weighted words than any item needs in step 5 are left out, which loses nothing.
+   item passages; those with a cosine of ``min_cosine`` are candidates. Only passages without a
+   weighted word are left out, which loses nothing, as their cosine is 0: step 5 asks for terms
+   of a region wider than the passage, so one may be all that a passage holds of an item.
 5. Around a candidate, the longest common subsequence of words with the whole item must
    cover ``min_lcs`` of it, and the passage must hold ``min_answer`` of the item's weighted
    terms (the part of the item that answers it). That leaves paraphrases and copies.
@@ -54,6 +57,7 @@ class LatentSpec:
     max_df: float = 0.01
     common_df: int = 50
     min_terms: int = 4
+    min_share: float = 0.5
     min_cosine: float = 0.4
     min_lcs: float = 0.6
     min_answer: float = 0.5
@@ -71,7 +75,7 @@ def words(text: str | None) -> list[bytes]:
 
 
 def _encode(docs: DataFrame, vocabulary: dict[bytes, int], kind: str) -> DataFrame:
-    """__id and __ids: the term numbers of all words as little-endian 32-bit integers."""
+    """__id, __hash and __ids: the term numbers of all words as little-endian 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = vocabulary.get
@@ -82,9 +86,9 @@ def _encode(docs: DataFrame, vocabulary: dict[bytes, int], kind: str) -> DataFra
                 for t in b.column("__text").to_pylist():
                     w = words(t)
                     out.append(np.fromiter(map(get, w, repeat(-1)), "<i4", len(w)).tobytes())
-                yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(out, pa.binary())], ["__id", "__ids"])
+                yield pa.RecordBatch.from_arrays([b.column("__id"), b.column("__hash"), pa.array(out, pa.binary())], ["__id", "__hash", "__ids"])
 
-    return docs.mapInArrow(run, f"__id {kind}, __ids binary")
+    return docs.mapInArrow(run, f"__id {kind}, __hash long, __ids binary")
 
 
 def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,23 +115,31 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
 
 
 def _frequencies(encoded: DataFrame, terms: int, spec: LatentSpec) -> tuple[np.ndarray, int]:
-    """Passages (disjoint ones, of two blocks) that hold each term, and their number."""
+    """Passages (disjoint ones, of two blocks) of the distinct texts that hold each term, and their number.
+
+    Each of n equal texts counts 1 / n, so that no text is shuffled.
+    """
+    twice = materialise(encoded.groupBy("__hash").agg(F.count("*").alias("__n")).where("__n > 1"), "copies")
+    if twice.count() <= 500_000:
+        twice = F.broadcast(twice)  # at most 8 MB
+    shared = encoded.join(twice, "__hash", "left").select((1 / F.coalesce("__n", F.lit(1))).alias("__part"), "__ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, passages = np.zeros(terms + 1, np.int64), 0
-        for _, ids, begin in _batches(batches):
+        df = np.zeros(terms + 1)
+        for b, ids, begin in _batches(batches):
             block, first = _blocks(begin, 2 * spec.half)
-            passages += int(first[-1])
+            part = np.repeat(b.column("__part").to_numpy(), np.diff(first))
+            df[terms] += part.sum()
             hit = ids >= 0
-            df[:terms] += np.bincount(np.unique(block[hit] * terms + ids[hit]) % terms, minlength=terms)
-        df[terms] = passages
+            cell = np.unique(block[hit] * terms + ids[hit])
+            df[:terms] += np.bincount(cell % terms, part[cell // terms], minlength=terms)
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(df[some])], ["term", "df"])
 
-    rows = encoded.select("__ids").mapInArrow(run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    rows = shared.mapInArrow(run, "term int, df double").groupBy("term").agg(F.sum("df").alias("df")).collect()
     df = np.zeros(terms + 1, np.int64)
     for r in rows:  # a row for each term of the benchmark
-        df[r["term"]] = r["df"]
+        df[r["term"]] = round(r["df"])
     return df[:terms], int(df[terms])
 
 
@@ -218,7 +230,8 @@ class Searcher:
         self.weighted = weight > 0
         self.coded, self.owner, self.spec = coded, owner, spec
         self.keys = [frozenset(x for x in c if weight[x] > 0) for c in coded]
-        self.least = min(spec.min_terms, *(len(k) for k in self.keys)) if self.keys else 1
+        self.length = np.array([len(c) for c in coded], np.int64)
+        self.least = np.ceil(spec.min_answer * np.array([len(k) for k in self.keys]) - 1e-9)
 
     def candidates(self, ids: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(block, item passage, cosine) of passages near an item's passage; a passage is named by its first block."""
@@ -232,7 +245,7 @@ class Searcher:
         count = np.bincount(block[hit], minlength=blocks + 1)
         more = np.ones(blocks, bool)  # a document's last block is a passage of its own
         more[first[1:][np.diff(first) > 0] - 1] = False
-        some = np.flatnonzero(count[:blocks] + more * count[1:] >= self.least)
+        some = np.flatnonzero(count[:blocks] + more * count[1:])
         starts = np.flatnonzero(np.diff(block[hit], prepend=-1))
         sums = np.zeros((blocks + 1, self.lifted.shape[1]), np.float32)
         sums[block[hit][starts]] = np.add.reduceat(self.lifted[ids[hit]], starts, axis=0)
@@ -248,22 +261,26 @@ class Searcher:
         """(document, item, cosine, lcs, answer, first word, end word), the best region of each pair."""
         half, spec, found = self.spec.half, self.spec, []
         _, first = _blocks(begin, half)
+        place = np.flatnonzero(ids >= 0)
+        place = place[self.weighted[ids[place]]]
+        weighted = ids[place].tolist()
         pairs: dict[tuple[int, int], list] = {}
         for w, q, c in self.candidates(ids, begin):
-            doc = np.searchsorted(first, w, side="right") - 1
-            for d, k, x, v in zip(doc.tolist(), self.owner[q].tolist(), w.tolist(), c.tolist(), strict=True):
-                pairs.setdefault((d, k), []).append((x, v))
+            doc, k = np.searchsorted(first, w, side="right") - 1, self.owner[q]
+            start = begin[doc] + (w - first[doc]) * half
+            low, high = np.maximum(begin[doc], start - self.length[k]), np.minimum(begin[doc + 1], start + 2 * half + self.length[k])
+            a, b = np.searchsorted(place, low), np.searchsorted(place, high)
+            able = np.flatnonzero(b - a >= self.least[k])  # weighted words enough for the answer
+            for d, i, *x in zip(*(v[able].tolist() for v in (doc, k, w, c, low, high, a, b)), strict=True):
+                pairs.setdefault((d, i), []).append(x)
         for (d, k), at in pairs.items():
             item, best, reach = self.coded[k], None, -1
-            for x, c in sorted(at):
-                start = int(begin[d]) + (x - int(first[d])) * half
-                low, high = max(int(begin[d]), start - len(item)), min(int(begin[d + 1]), start + 2 * half + len(item))
+            for _, c, low, high, a, b in sorted(at):
                 if high <= reach:
                     continue
                 reach = high
-                region = ids[low:high].tolist()
-                answer = len(self.keys[k].intersection(region)) / len(self.keys[k])
-                if answer < spec.min_answer or (share := lcs(item, region) / len(item)) < spec.min_lcs:
+                answer = len(self.keys[k].intersection(weighted[a:b])) / len(self.keys[k])
+                if answer < spec.min_answer or (share := lcs(item, ids[low:high].tolist()) / len(item)) < spec.min_lcs:
                     continue
                 if best is None or (share, c) > (best[1], best[0]):
                     best = (c, share, answer, low - int(begin[d]), high - int(begin[d]))
@@ -282,8 +299,9 @@ def _find_block(docs: DataFrame, items: list[tuple[int, list[bytes]]], spec: Lat
     stop = df > max(spec.max_df * passages, spec.common_df)
     for c in coded:  # an item keeps its rarest terms where too few are below max_df
         t = np.unique(c)
-        if (~stop[t]).sum() < spec.min_terms:
-            stop[t[np.argsort(df[t], kind="stable")[: spec.min_terms]]] = False
+        least = max(spec.min_terms, int(np.ceil(spec.min_share * len(t))))
+        if (~stop[t]).sum() < least:
+            stop[t[np.argsort(df[t], kind="stable")[:least]]] = False
     weight[stop] = 0
     # The items' passages: as the documents', the last one moved back to the item's end.
     owner, row, term, n = [], [], [], 0
@@ -318,7 +336,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LatentSpec = LatentS
     items = benchmark.where(F.col(item_text_col).isNotNull()).groupBy(F.col(item_text_col).alias("t")).agg(F.min(item_col).cast("long").alias("i"))
     items = materialise(items, "items")
     blocks = max(1, -(-items.count() // spec.block_items))
-    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.xxhash64(text_col).alias("__hash"))
     found = []
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == k).collect()

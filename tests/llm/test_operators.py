@@ -230,6 +230,23 @@ def test_paraphrases(spark, sf):
     assert {r.doc_id for r in got if r.item_id == items[r.doc_id % 100]["item_id"]} >= set(range(12)) and all(r.doc_id < 100 for r in got)
 
 
+def test_hot_copies_hide_no_item(spark):
+    """A third of all rows is one document, or near copies of it, that holds an item longer than a passage."""
+    rng = random.Random(6)
+    made = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    items = [made(59) for _ in range(12)]
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    for k in range(2):
+        around = made(340)
+        at = rng.randrange(300)
+        hot = [around[:at] + items[k] + around[at:] for _ in range(150)]
+        if k:
+            hot = [[*w[:-1], f"end{i}"] for i, w in enumerate(hot)]
+        texts = [" ".join(w) for w in [*hot, *[made(400) for _ in range(300)], made(50) + items[k] + made(50)]]
+        found = decontaminate.find_leaks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), benchmark).collect()
+        assert {(r.doc_id, r.item_id) for r in found} == {(d, k) for d in [*range(150), 450]}
+
+
 @given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=15))
 def test_lcs(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
