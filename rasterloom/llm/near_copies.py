@@ -4,13 +4,16 @@ A 64-bit fingerprint can't find such copies: at a Jaccard similarity of 0.8 abou
 its bits differ, ten of 64, and an index for ten differing bits prunes nothing. So the
 signature is wider: ``tables`` codes of 32 bits. Two texts are candidates if some code
 differs by at most ``code_bits`` bits, which two texts of similarity 0.8 do in 99 % of
-cases; they are linked if the last ``check_words`` words of their signatures differ by at
-most ``check_bits``, about the similarity where 98 of 100 pairs at 0.8 are kept.
+cases, and the last ``check_words`` words of their signatures differ by at most
+``check_bits``, far beyond what two such texts differ by. Candidates are linked only where the
+exact Jaccard similarity of their shingles is ``min_similarity``.
 
 By the pigeonhole principle two such codes agree on one of ``code_bits`` + 1 bytes. Codes
 are dealt by table, byte number and byte value; each such group is searched with the
-Gray-order index of ``simhash`` and returns a spanning forest, never all pairs. Equal
-signatures are one node from the start, so that copies cost nothing there.
+Gray-order index of ``simhash`` and returns a spanning forest of its nearest candidates, never
+all pairs. Where a similarity refutes a tree's edge, its tree is searched once more for every
+candidate pair of two classes, so that no link hangs on a refuted one. Texts of equal shingles
+are one node from the start, so that copies cost nothing there.
 
 Defined cases: as in ``simhash``; texts of fewer than ``shingle`` words have one shingle,
 the whole text, and texts without words are copies of each other.
@@ -27,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise, without_ids
+from ._common import BROADCAST_IDS, materialise
 from .components import connected_components
 from .simhash import GrayIndex, gray_rank, union_classes
 
@@ -38,24 +41,35 @@ class NearCopySpec:
     tables: int = 18
     code_bits: int = 3
     check_words: int = 4
-    check_bits: int = 50
+    check_bits: int = 64
+    min_similarity: float = 0.8
     values_per_task: int = 16
     codes_per_task: int = 10_000
 
 
-def signature(text: str | None, spec: NearCopySpec) -> bytes:
-    """``tables`` / 2 words of 64 bits; each bit is the majority of that bit over the distinct shingles' hashes."""
+def shingle_hashes(text: str | None, spec: NearCopySpec) -> np.ndarray:
+    """Sorted hashes of the distinct shingles."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     n, k = len(words), spec.shingle
-    width = spec.tables // 2
     if not n:
-        return bytes(8 * width)
+        return np.empty(0, np.uint64)
     whole = b" ".join(words)
     length = np.fromiter(map(len, words), np.int64, n)
     ends = np.cumsum(length + 1) - 1
     pieces = {whole[a:b] for a, b in zip((ends - length).tolist(), ends[k - 1 :].tolist())} if n >= k else {whole}  # noqa: B905
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(p, 42) for p in pieces), np.uint64, len(pieces))
+    return np.unique(np.fromiter((digest(p, 42) for p in pieces), np.uint64, len(pieces)))
+
+
+def signature(text: str | None, spec: NearCopySpec) -> bytes:
+    """``tables`` / 2 words of 64 bits; each bit is the majority of that bit over the distinct shingles' hashes."""
+    return _signature(shingle_hashes(text, spec), spec)
+
+
+def _signature(hashes: np.ndarray, spec: NearCopySpec) -> bytes:
+    width = spec.tables // 2
+    if not len(hashes):
+        return bytes(8 * width)
     out = np.empty(width, np.uint64)
     for j in range(width):
         mixed = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * j)
@@ -70,16 +84,34 @@ def signature(text: str | None, spec: NearCopySpec) -> bytes:
     return out.tobytes()
 
 
-def _group_forest(codes: np.ndarray, checks: np.ndarray, nodes: np.ndarray, spec: NearCopySpec, leaf: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (node, least node of its class) inside one group."""
-    order = np.argsort(nodes, kind="stable")
-    codes, checks, nodes = codes[order].astype(np.uint64), checks[order], nodes[order]
+def _tree(parent: np.ndarray, q: np.ndarray, p: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(new parent, q, p): the pairs that join classes, nearest first (Boruvka's rounds)."""
+    order = np.argsort(far, kind="stable")
+    q, p, kept = q[order], p[order], []
+    while True:
+        apart = parent[q] != parent[p]
+        q, p = q[apart], p[apart]
+        if not len(q):
+            break
+        first = np.full(len(parent), len(q))
+        for side in (q, p):
+            np.minimum.at(first, parent[side], np.arange(len(q)))
+        pick = np.unique(first[first < len(q)])
+        kept.append((q[pick], p[pick]))
+        parent = union_classes(parent, q[pick], p[pick])
+    return parent, np.concatenate([q, *[k[0] for k in kept]]), np.concatenate([p, *[k[1] for k in kept]])
+
+
+def _group_pairs(codes: np.ndarray, checks: np.ndarray, nodes: np.ndarray, labels: np.ndarray, every: bool, spec: NearCopySpec, leaf: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of nodes of two classes (labels) inside one group: a spanning forest, or every one."""
+    codes = codes.astype(np.uint64)
+    _, first, at = np.unique(labels, return_index=True, return_inverse=True)
+    parent, left, right = first[at], [nodes[:0]], [nodes[:0]]
     members = np.argsort(gray_rank(codes), kind="stable")
     kept, cuts = codes[members], np.arange(0, len(codes), leaf)
     low, high = np.bitwise_and.reduceat(kept, cuts), np.bitwise_or.reduceat(kept, cuts)
     mask = ~(low ^ high)
     width = np.minimum(leaf, len(kept) - cuts)
-    parent = np.arange(len(codes))
     for who, group in GrayIndex(mask, low & mask).search(codes, spec.code_bits):
         label = parent[members]
         first, last = np.minimum.reduceat(label, cuts), np.maximum.reduceat(label, cuts)
@@ -92,23 +124,63 @@ def _group_forest(codes: np.ndarray, checks: np.ndarray, nodes: np.ndarray, spec
             p = members[place]
             near = (q < p) & (np.bitwise_count(codes[q] ^ codes[p]) <= spec.code_bits)
             q, p = q[near], p[near]
-            near = np.bitwise_count(checks[q] ^ checks[p]).sum(axis=1, dtype=np.int64) <= spec.check_bits
-            parent = union_classes(parent, q[near], p[near])
-    moved = parent != np.arange(len(parent))
-    return nodes[moved], nodes[parent[moved]]
+            far = np.bitwise_count(checks[q] ^ checks[p]).sum(axis=1, dtype=np.int64)
+            near = (far <= spec.check_bits) & (parent[q] != parent[p])
+            q, p, far = q[near], p[near], far[near]
+            if not every:
+                parent, q, p = _tree(parent, q, p, far)
+            left.append(nodes[q])
+            right.append(nodes[p])
+    u, v = np.concatenate(left), np.concatenate(right)
+    return np.maximum(u, v), np.minimum(u, v)
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: NearCopySpec, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (u, v) whose exact similarity is ``min_similarity``."""
+
+    @F.pandas_udf("binary")
+    def hashed(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_hashes(t, spec).tobytes() for t in texts])
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(both >= spec.min_similarity * (len(x) + len(y) - both) - 1e-9)
+        return pd.Series(out, dtype=bool)
+
+    asked = pairs.select(F.col("u").alias("__node")).union(pairs.select("v")).distinct()
+    asked = materialise(nodes.join(asked, "__node").select("__node", F.col("__id").alias("__of"), F.col("__text_hash").alias("__of_hash")), "asked")
+    if asked.count() <= BROADCAST_IDS:
+        asked = F.broadcast(asked)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("__of"), text.alias("__text"), F.xxhash64(text).alias("__of_hash")).join(asked, ["__of", "__of_hash"])
+    sets = materialise(rows.select("__node", hashed("__text").alias("__set")), "shingles").dropDuplicates(["__node"])
+    one = materialise(pairs.join(sets.select(F.col("__node").alias("u"), F.col("__set").alias("__a")), "u"), "sides")
+    both = one.join(sets.select(F.col("__node").alias("v"), F.col("__set").alias("__b")), "v")
+    return materialise(both.select("u", "v", alike("__a", "__b").alias("__same")).where("__same").select("u", "v"), "links")
 
 
 def copy_groups(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """__id and __group (the least id of the row's group), a row for each row of ``docs`` with an id."""
+    """__id, __text_hash, __group and __group_hash (the least id of the row's group and its text's hash), a row for each row of ``docs`` with an id."""
 
     @F.pandas_udf("binary")
     def sign(texts: pd.Series) -> pd.Series:
         known: dict = {}
-        return pd.Series([known[t] if t in known else known.setdefault(t, signature(t, spec)) for t in texts])
-
-    signed = docs.select(F.col(id_col).alias("__id"), sign(F.coalesce(F.col(text_col), F.lit(""))).alias("__sig")).where("__id IS NOT NULL")
+        for t in texts:
+            if t not in known:
+                h = shingle_hashes(t, spec)
+                known[t] = _signature(h, spec) + xxhash.xxh3_128_digest(h.tobytes())
+        return pd.Series([known[t] for t in texts])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    signed = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__text_hash"), sign(text).alias("__sig")).where("__id IS NOT NULL")
     signed = materialise(signed, "signatures")
-    nodes = materialise(signed.groupBy("__sig").agg(F.min("__id").cast("long").alias("__node")), "nodes")
+    least = F.min(F.struct("__id", "__text_hash")).alias("__least")
+    nodes = signed.groupBy("__sig").agg(least).select("__sig", F.xxhash64("__sig").alias("__node"), "__least.*")
+    nodes = materialise(nodes, "nodes")
     # Byte values searched by one task: fewer where there are more signatures. It changes no result.
     per = max(1, min(spec.values_per_task, spec.codes_per_task * 256 // max(1, nodes.count())))
     tables, checks = spec.tables, spec.check_words
@@ -117,37 +189,58 @@ def copy_groups(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: st
         for x in batches:
             if not len(x):
                 continue
-            words = np.frombuffer(b"".join(x["__sig"]), "<u8").reshape(len(x), -1)
+            words = np.frombuffer(b"".join(x["__sig"]), "<u8").reshape(len(x), -1)[:, : tables // 2].copy()
             codes = words.view("<u4")
             check = {f"c{j}": words[:, -1 - j].view(np.int64) for j in range(checks)}
             for t in range(tables):
                 for part in range(spec.code_bits + 1):
                     value = (codes[:, t] >> np.uint32(8 * part) & np.uint32(255)).astype(np.int32)
-                    yield pd.DataFrame({"k": (t * 8 + part) * 256 + value // per, "v": value, "code": codes[:, t].view(np.int32), **check, "node": x["__node"].to_numpy()})
+                    yield pd.DataFrame({"k": (t * 8 + part) * 256 + value // per, "v": value, "code": codes[:, t].view(np.int32), **check, "node": x["__node"].to_numpy(), "label": x["__label"].to_numpy()})
 
-    def forest(x: pd.DataFrame) -> pd.DataFrame:
+    def search(x: pd.DataFrame, every: bool) -> pd.DataFrame:
         x = x.sort_values("v", kind="stable")
-        code, node = x["code"].to_numpy(np.int32).view(np.uint32), x["node"].to_numpy(np.int64)
+        code, node, label = x["code"].to_numpy(np.int32).view(np.uint32), x["node"].to_numpy(np.int64), x["label"].to_numpy(np.int64)
         check = np.stack([x[f"c{j}"].to_numpy(np.int64).view(np.uint64) for j in range(checks)], axis=1)
         cuts = np.flatnonzero(np.diff(x["v"].to_numpy(), prepend=-1))
-        found = [_group_forest(code[a:b], check[a:b], node[a:b], spec) for a, b in zip(cuts, [*cuts[1:], len(x)], strict=True) if b - a > 1]
+        found = [_group_pairs(code[a:b], check[a:b], node[a:b], label[a:b], every, spec) for a, b in zip(cuts, [*cuts[1:], len(x)], strict=True) if b - a > 1]
         return pd.DataFrame({"u": np.concatenate([f[0] for f in found] or [node[:0]]), "v": np.concatenate([f[1] for f in found] or [node[:0]])})
 
-    dealt = nodes.mapInPandas(deal, "k int, v int, code int, " + "".join(f"c{j} long, " for j in range(checks)) + "node long")
-    least = connected_components(dealt.groupBy("k").applyInPandas(forest, "u long, v long"))
-    groups = nodes.join(least.withColumnRenamed("u", "__node"), "__node", "left").select("__sig", F.coalesce("v", "__node").alias("__group"))
-    return signed.join(groups, "__sig").select("__id", "__group")
+    def pairs(of: DataFrame, every: bool) -> DataFrame:
+        dealt = of.mapInPandas(deal, "k int, v int, code int, " + "".join(f"c{j} long, " for j in range(checks)) + "node long, label long")
+        return materialise(dealt.groupBy("k").applyInPandas(lambda x: search(x, every), "u long, v long").distinct(), "pairs")
+
+    def classes(edges: DataFrame, name: str) -> DataFrame:
+        return connected_components(edges).select(F.col("u").alias("__node"), F.col("v").alias(name))
+
+    tried = pairs(nodes.withColumn("__label", F.col("__node")), False)
+    links = _confirmed(tried, nodes, docs, spec, id_col, text_col)
+    refuted = materialise(tried.join(links, ["u", "v"], "left_anti"), "refuted")
+    if not refuted.isEmpty():  # every candidate pair of two classes, in the trees that lost an edge
+        trees = classes(tried, "__tree")
+        named = materialise(nodes.join(trees, "__node", "left").withColumn("__tree", F.coalesce("__tree", "__node")), "trees")
+        broken = named.join(refuted.select(F.col("u").alias("__node")).distinct(), "__node").select("__tree").distinct()
+        again = named.join(broken, "__tree", "left_semi").join(classes(links, "__label"), "__node", "left")
+        again = materialise(again.select("__sig", "__node", F.coalesce("__label", "__node").alias("__label")), "again")
+        more = pairs(again, True).join(refuted, ["u", "v"], "left_anti")
+        links = links.union(_confirmed(materialise(more, "more"), nodes, docs, spec, id_col, text_col))
+    named = materialise(nodes.join(classes(links, "__of"), "__node", "left").withColumn("__of", F.coalesce("__of", "__node")), "classes")
+    heads = named.groupBy("__of").agg(least).select("__of", F.col("__least.__id").alias("__group"), F.col("__least.__text_hash").alias("__group_hash"))
+    groups = materialise(named.join(materialise(heads, "heads"), "__of").select("__sig", "__group", "__group_hash"), "named")
+    return signed.join(groups, "__sig").select("__id", "__text_hash", "__group", "__group_hash")
 
 
 def deduplicate(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of copies, that of the least id, with all columns; rows without an id stay.
 
-    Of rows that share an id, one stays.
+    Of rows that share an id and a text, one stays; rows that share an id alone are rows of their own.
     """
     groups = materialise(copy_groups(docs, spec, id_col, text_col), "groups")
-    surplus = groups.where(F.col("__id") != F.col("__group")).select("__id").distinct()
-    kept = without_ids(docs, surplus, id_col)
-    twice = groups.where(F.col("__id") == F.col("__group")).groupBy("__id").count().where("count > 1")
-    if twice.isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    head = (F.col("__id") == F.col("__group")) & (F.col("__text_hash") == F.col("__group_hash"))
+    surplus = materialise(groups.where(~head).select(F.col("__id").alias("__gone"), F.col("__text_hash").alias("__gone_hash")).distinct(), "gone")
+    surplus = F.broadcast(surplus) if surplus.count() <= BROADCAST_IDS else surplus
+    own = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    kept = own.join(surplus, (F.col(id_col) == F.col("__gone")) & (F.col("__hash") == F.col("__gone_hash")), "left_anti")
+    twice = groups.where(head).groupBy("__id", "__text_hash").count().where("count > 1")
+    if not twice.isEmpty():
+        kept = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, "__hash"]).unionByName(kept.where(F.col(id_col).isNull()))
+    return kept.drop("__hash")
