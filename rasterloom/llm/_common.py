@@ -60,15 +60,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Ids up to which an anti join sends its ids to every executor (16 bytes each); beyond, Spark joins by id.
+#: Ids up to which an anti join sends its rows to every executor (about 16 bytes each); beyond, Spark joins by id.
 BROADCAST_IDS = 500_000
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id isn't in ``ids`` (one column, no nulls); rows with a null id stay."""
-    listed = materialise(ids.toDF("__gone"), "gone")
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has a column of that name already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while (name := f"__{name}").lower() in taken:
+            pass
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without_texts(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs`` whose id and text's hash aren't in ``gone`` (these two columns); null ids are ids of their own."""
+    g_id, g_hash = fresh(docs, "gone", "gone_hash")
+    listed = materialise(gone.toDF(g_id, g_hash).distinct(), "gone")
     count = listed.count()
     if not count:
         return docs
     listed = F.broadcast(listed) if count <= BROADCAST_IDS else listed
-    return docs.join(listed, F.col(id_col) == F.col("__gone"), "left_anti")
+    same = F.col(id_col).eqNullSafe(F.col(g_id)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(g_hash))
+    return docs.join(listed, same, "left_anti")

@@ -3,9 +3,9 @@
 1. The benchmark's terms are the vocabulary; every document becomes the sequence of its
    words' term numbers (-1 for any other word), written once in the shared folder.
 2. Document frequencies over the passages of all distinct texts give TF-IDF weights, so that a
-   large group of copies makes no term common; terms in more than ``max_df`` of the passages, and
-   in more than ``common_df`` of them, carry none, except that an item keeps the rarest
-   ``min_share`` of its terms (``min_terms`` at least).
+   large group of copies makes no term common; terms in more than ``max_df`` of the passages
+   carry none, except that an item keeps the rarest ``min_share`` of its terms (``min_terms``
+   at least).
 3. A distributed randomised SVD of all unit TF-IDF passages, the benchmark's own stacked
    below with equal total weight: each task sums A'(A G) for a random G, terms by columns,
    Spark adds them up, and the driver takes the Nystrom decomposition of that one sketch.
@@ -18,12 +18,15 @@
    cover ``min_lcs`` of it, and the passage must hold ``min_answer`` of the item's weighted
    terms (the part of the item that answers it). That leaves paraphrases and copies.
 
-The benchmark is the query set: it is read in blocks of at most ``block_items`` items, so
-what a task holds has a bound. Defined cases: null or empty texts and items find nothing,
-nor do items of fewer than ``min_item_words`` words; repeated items are reported by their
-least id, once for each document; repeated ids are rows of their own in the search and one
-row in the result; empty tables give an empty result. Other columns aren't read; texts are
-searched whole.
+Items of fewer than ``min_item_words`` words hold too little for a paraphrase: they are found as
+whole word sequences, wherever they stand (cosine, lcs and answer are 1).
+
+The benchmark is the query set. Vocabulary, frequencies and latent space are those of all items;
+the search takes at most ``block_items`` of them at a time, which bounds what a task holds and
+changes no result. Defined cases: null or empty texts and items find nothing; repeated items are
+reported by their least id, once for each document; repeated ids are rows of their own in the
+search, one row in the result, and stay or go by their own text; empty tables give an empty
+result. Other columns aren't read; texts are searched whole.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise, without_ids
+from ._common import materialise, without_texts
 
 _WORD = re.compile(r"\w+")
 #: Blocks of punctuation beyond ASCII; texts without it are split by a byte table.
@@ -55,7 +58,6 @@ class LatentSpec:
     rank: int = 96
     oversample: int = 8
     max_df: float = 0.01
-    common_df: int = 50
     min_terms: int = 4
     min_share: float = 0.5
     min_cosine: float = 0.4
@@ -289,69 +291,122 @@ class Searcher:
         return found
 
 
-def _find_block(docs: DataFrame, items: list[tuple[int, list[bytes]]], spec: LatentSpec, kind: str) -> DataFrame:
-    vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
-    coded = [[vocabulary[w] for w in ws] for _, ws in items]
-    terms, half = len(vocabulary), spec.half
-    encoded = materialise(_encode(docs, vocabulary, kind), "terms", compression="zstd")
+_FOUND = "item_id long, cosine double, lcs double, answer double, first_word long, end_word long"
+
+
+def _rows(b: pa.RecordBatch, found: list[tuple], ids_of: list[int]) -> pa.RecordBatch:
+    """The found (document, item, cosine, lcs, answer, first word, end word) of a batch as rows."""
+    at = pa.array([f[0] for f in found], pa.int64())
+    columns = [b.column("__id").take(at), b.column("__hash").take(at), pa.array([ids_of[f[1]] for f in found], pa.int64())]
+    columns += [pa.array([f[j] for f in found], t) for j, t in ((2, pa.float64()), (3, pa.float64()), (4, pa.float64()), (5, pa.int64()), (6, pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, ["__id", "__hash", "item_id", "cosine", "lcs", "answer", "first_word", "end_word"])
+
+
+def _mixed(ids: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit number for each n consecutive ids."""
+    if len(ids) < n:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(len(ids) - n + 1, np.uint64)
+    for j in range(n):
+        out = (out ^ ids[j : len(ids) - n + 1 + j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _exact(encoded: DataFrame, coded: list[list[int]], ids_of: list[int], kind: str) -> DataFrame:
+    """Documents that hold one of the items as a sequence of words, the first place of each."""
+    by: dict[int, dict[int, list[int]]] = {}
+    for k, c in enumerate(coded):
+        by.setdefault(len(c), {}).setdefault(int(_mixed(np.array(c, "<i4"), len(c))[0]), []).append(k)
+    sought = {n: np.array(sorted(at), np.uint64) for n, at in by.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, ids, begin in _batches(batches):
+            found: dict[tuple[int, int], int] = {}
+            for n, numbers in sought.items():
+                mixed = _mixed(ids, n)
+                for at in np.flatnonzero(np.isin(mixed, numbers)).tolist():
+                    d = int(np.searchsorted(begin, at, side="right")) - 1
+                    for k in by[n][int(mixed[at])]:
+                        if at + n <= begin[d + 1] and ids[at : at + n].tolist() == coded[k]:
+                            found.setdefault((d, k), at - int(begin[d]))
+            yield _rows(b, [(d, k, 1.0, 1.0, 1.0, at, at + len(coded[k])) for (d, k), at in found.items()], ids_of)
+
+    return encoded.mapInArrow(run, f"__id {kind}, __hash long, {_FOUND}")
+
+
+def _weights(encoded: DataFrame, coded: list[list[int]], terms: int, spec: LatentSpec) -> np.ndarray:
     df, passages = _frequencies(encoded, terms, spec)
     weight = np.log((1 + passages) / (1 + df)) + 1
-    stop = df > max(spec.max_df * passages, spec.common_df)
+    stop = df > spec.max_df * passages
     for c in coded:  # an item keeps its rarest terms where too few are below max_df
         t = np.unique(c)
         least = max(spec.min_terms, int(np.ceil(spec.min_share * len(t))))
         if (~stop[t]).sum() < least:
             stop[t[np.argsort(df[t], kind="stable")[:least]]] = False
     weight[stop] = 0
-    # The items' passages: as the documents', the last one moved back to the item's end.
-    owner, row, term, n = [], [], [], 0
+    return weight
+
+
+def _passages(coded: list[list[int]], weight: np.ndarray, half: int) -> tuple[tuple, np.ndarray]:
+    """((row, term, value) of the items' passages, each row's item): as the documents', the last one moved back to the item's end."""
+    owner, row, term = [], [], []
     for k, c in enumerate(coded):
         for s in sorted({min(s, max(0, len(c) - 2 * half)) for s in range(0, len(c), half)}):
             t = [x for x in c[s : s + 2 * half] if weight[x] > 0]
             if t:
-                owner.append(k)
-                row += [n] * len(t)
+                row += [len(owner)] * len(t)
                 term += t
-                n += 1
-    own = _unit_rows(np.array(row, np.int64), np.array(term, np.int64), weight)
-    space = _directions(encoded, own, weight, spec)
-    searcher = Searcher(space, weight, coded, own, np.array(owner), spec)
-    ids_of = [i for i, _ in items]
+                owner.append(k)
+    return _unit_rows(np.array(row, np.int64), np.array(term, np.int64), weight), np.array(owner)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, ids, begin in _batches(batches):
-            found = searcher.leaks(ids, begin)
-            docs_ = b.column("__id").take(pa.array([f[0] for f in found], pa.int64()))
-            columns = [docs_, pa.array([ids_of[f[1]] for f in found], pa.int64())]
-            columns += [pa.array([f[j] for f in found], t) for j, t in ((2, pa.float64()), (3, pa.float64()), (4, pa.float64()), (5, pa.int64()), (6, pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["__id", "item_id", "cosine", "lcs", "answer", "first_word", "end_word"])
 
-    return encoded.mapInArrow(run, f"__id {kind}, item_id long, cosine double, lcs double, answer double, first_word long, end_word long")
+def _latent(encoded: DataFrame, items: list[tuple[int, list[int]]], terms: int, spec: LatentSpec, kind: str) -> list[DataFrame]:
+    weight = _weights(encoded, [c for _, c in items], terms, spec)
+    space = _directions(encoded, _passages([c for _, c in items], weight, spec.half)[0], weight, spec)
+
+    def search(block: list[tuple[int, list[int]]]) -> DataFrame:
+        coded, ids_of = [c for _, c in block], [i for i, _ in block]
+        searcher = Searcher(space, weight, coded, *_passages(coded, weight, spec.half), spec)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b, ids, begin in _batches(batches):
+                yield _rows(b, searcher.leaks(ids, begin), ids_of)
+
+        return encoded.mapInArrow(run, f"__id {kind}, __hash long, {_FOUND}")
+
+    return [search(items[at : at + spec.block_items]) for at in range(0, len(items), spec.block_items)]
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, spec: LatentSpec, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """__id, __hash (of the text) and what was found, a row for each row of ``docs`` and item it holds."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    items = benchmark.where(F.col(item_text_col).isNotNull()).groupBy(F.col(item_text_col).alias("t")).agg(F.min(item_col).cast("long").alias("i"))
+    rows = sorted((r["i"] is None, r["i"] or 0, ws) for r in items.collect() if (ws := words(r["t"])))  # the query set
+    items = [(None if none else i, ws) for none, i, ws in rows]
+    if not items:
+        return docs.sparkSession.createDataFrame([], f"__id {kind}, __hash long, {_FOUND}")
+    vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in items for w in ws}))}
+    coded = [(i, [vocabulary[w] for w in ws]) for i, ws in items]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), F.xxhash64(text).alias("__hash"))
+    encoded = materialise(_encode(source, vocabulary, kind), "terms", compression="zstd")
+    long, short = ([x for x in coded if (len(x[1]) >= spec.min_item_words) == way] for way in (True, False))
+    found = _latent(encoded, long, len(vocabulary), spec, kind) if long else []
+    if short:
+        found.append(_exact(encoded, [c for _, c in short], [i for i, _ in short], kind))
+    return materialise(reduce(DataFrame.union, found), "leaks")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LatentSpec = LatentSpec(), id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row for each document and item it holds: id, item_id, cosine, lcs, answer, first_word, end_word."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    items = benchmark.where(F.col(item_text_col).isNotNull()).groupBy(F.col(item_text_col).alias("t")).agg(F.min(item_col).cast("long").alias("i"))
-    items = materialise(items, "items")
-    blocks = max(1, -(-items.count() // spec.block_items))
-    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.xxhash64(text_col).alias("__hash"))
-    found = []
-    for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == k).collect()
-        block = sorted((r["i"], ws) for r in rows if len(ws := words(r["t"])) >= spec.min_item_words)
-        if block:
-            found.append(_find_block(source, block, spec, kind))
-    if not found:
-        empty = f"__id {kind}, item_id long, cosine double, lcs double, answer double, first_word long, end_word long"
-        found = [docs.sparkSession.createDataFrame([], empty)]
-    leaks = materialise(reduce(DataFrame.union, found), "leaks")
+    leaks = _leaks(docs, benchmark, spec, id_col, text_col, item_col, item_text_col)
     best = leaks.groupBy("__id", "item_id").agg(F.max(F.struct("lcs", "cosine", "answer", "first_word", "end_word")).alias("b"))
     return best.select(F.col("__id").alias(id_col), "item_id", "b.cosine", "b.lcs", "b.answer", "b.first_word", "b.end_word")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, spec: LatentSpec = LatentSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    leaked = find_leaks(docs, benchmark, spec, id_col, text_col).select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    return without_ids(docs, leaked, id_col)
+    """The rows of ``docs`` that hold no item, with all their columns; a row goes by its own text, whatever its id."""
+    leaked = _leaks(docs, benchmark, spec, id_col, text_col, "item_id", "text").select("__id", "__hash")
+    return without_texts(docs, leaked, id_col, text_col)

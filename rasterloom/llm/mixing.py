@@ -1,9 +1,13 @@
 """Mixing documents to target weights by soft membership of domains.
 
-1. A softmax regression, trained here on the labelled table (at most ``max_labelled`` rows,
-   chosen by a hash of the id), predicts each document's posteriors over the domains from
-   the presence of words and a few shapes of the text. Labels: toxic, else high or low
-   quality.
+1. Softmax regressions, trained here on the labelled table (at most ``max_labelled`` rows,
+   chosen by a hash of the id), predict each document's posteriors over the domains from the
+   presence of words and a few shapes of the text. Labels: toxic, else high or low quality.
+   Documents are in ``folds`` folds by a hash of their id; each is predicted by the model
+   that has seen nothing of its fold, so that labelled documents are no surer than others. A
+   temperature and a bias for each domain, fitted to those predictions of the labelled rows
+   with rows weighed by their tokens, calibrate them: classes weighed alike in training
+   are corrected to the shares they have, and expected tokens are those of the labels.
 2. A distributed projected-gradient solver fits a rate to every document, within 0 and
    ``max_rate``, so that the expected tokens of each domain (the sum of rate x tokens x
    posterior) meet the targets in the least-squares sense, with a small pull towards rate 1.
@@ -13,9 +17,11 @@
 3. A document is emitted floor(rate + u) times, with u in [0, 1) from the hash of its id.
 
 Defined cases: null text has no words and no tokens; labels of null, and documents without
-a label, teach nothing; with fewer than two labelled domains every posterior is even;
-repeated rows are rows of their own; an empty table gives an empty result. Only the named
-columns are read, and all columns are handed through by ``emit``.
+a label, teach nothing; of several labels of one id the last domain counts (toxic, else low), of
+several texts of a labelled id the least; where some fold leaves fewer than two labelled domains
+every posterior is even; repeated rows are rows of their own, also where they share an id; a null
+id is an id like any other; an empty table gives an empty result. Only the named columns are read,
+and all columns are handed through by ``emit``.
 """
 
 from __future__ import annotations
@@ -28,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
+from ._common import BROADCAST_IDS, fresh, materialise
 
 DOMAINS = ("high", "low", "toxic")
 
@@ -45,6 +51,7 @@ class MixSpec:
     rounds: int = 20
     tolerance: float = 2e-4
     max_labelled: int = 4_000
+    folds: int = 3
     vocabulary: int = 1_500
     min_df: int = 5
     seed: int = 17
@@ -71,51 +78,93 @@ class DomainModel:
     mean: np.ndarray
     scale: np.ndarray
 
-    def posteriors(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def logits(self, words: set[str], shape: list[float]) -> np.ndarray:
+        hit = [self.vocabulary[x] for x in self.vocabulary.keys() & words]
+        z = self.bias + ((np.array(shape) - self.mean) / self.scale) @ self.shape
+        return z + self.words[hit].sum(0) if hit else z
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+@dataclass
+class FoldedModel:
+    """A model for each fold, that has not seen it, and the calibration of them all."""
+
+    models: list[DomainModel]
+    cool: float
+    bias: np.ndarray
+
+    def posteriors(self, texts: list[str], folds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(documents x domains, tokens); tokens are the words between white space."""
-        z, tokens = np.tile(self.bias, (len(texts), 1)), np.zeros(len(texts), np.int64)
-        known = self.vocabulary.keys()
-        for i, t in enumerate(texts):
+        z, tokens = np.zeros((len(texts), len(DOMAINS))), np.zeros(len(texts), np.int64)
+        for i, (t, f) in enumerate(zip(texts, folds.tolist(), strict=True)):
             w = t.split()
             tokens[i] = len(w)
-            hit = [self.vocabulary[x] for x in known & set(w)]
-            if hit:
-                z[i] += self.words[hit].sum(0)
-            z[i] += ((np.array(shapes(t, w)) - self.mean) / self.scale) @ self.shape
-        z -= z.max(1, keepdims=True)
-        p = np.exp(z)
-        return p / p.sum(1, keepdims=True), tokens
+            z[i] = self.models[f].logits(set(w), shapes(t, w))
+        return softmax(self.cool * z + self.bias), tokens
+
 
+def calibrate(z: np.ndarray, domains: np.ndarray, weight: np.ndarray, steps: int = 60) -> tuple[float, np.ndarray]:
+    """(factor of the logits, bias) of least weighted log loss, by damped Newton steps.
 
-def train(texts: list[str], domains: list[int], spec: MixSpec) -> DomainModel:
+    At the optimum the weighted sum of each domain's posteriors is that of its labels.
+    """
+    k = z.shape[1]
+    goal, weight = np.eye(k)[domains], weight / weight.sum()
+    features = np.concatenate([z[:, :, None], np.broadcast_to(np.eye(k), (len(z), k, k))], axis=2)  # row x domain x parameter
+    theta, damp = np.concatenate([[1.0], np.zeros(k)]), 1e-3
+    ridge = 1e-6 * (theta - theta[0] * np.eye(k + 1)[0] + 1)
+
+    def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        p = softmax(features @ theta)
+        return float(-(weight * np.log(np.maximum((p * goal).sum(1), 1e-300))).sum() + (ridge * (theta - np.eye(k + 1)[0]) ** 2).sum()), p
+
+    now, p = loss(theta)
+    for _ in range(steps):
+        slope = np.einsum("n,nd,ndf->f", weight, p - goal, features) + 2 * ridge * (theta - np.eye(k + 1)[0])
+        mean = np.einsum("nd,ndf->nf", p, features)
+        bend = np.einsum("n,nd,ndf,ndg->fg", weight, p, features, features) - np.einsum("n,nf,ng->fg", weight, mean, mean)
+        step = np.linalg.solve(bend + damp * np.eye(k + 1), slope)
+        tried, q = loss(theta - step)
+        if tried < now:
+            theta, p, damp = theta - step, q, max(damp / 10, 1e-9)
+            if now - tried < 1e-12:
+                break
+            now = tried
+        else:
+            damp *= 10
+    return (float(theta[0]), theta[1:]) if theta[0] > 0 else (0.0, theta[1:])
+
+
+def train(words: list[set[str]], shape: np.ndarray, domains: np.ndarray, spec: MixSpec) -> DomainModel:
     """Softmax regression with classes weighed alike, by gradient descent in numpy."""
-    k, split = len(DOMAINS), [t.split() for t in texts]
+    k, n = len(DOMAINS), len(words)
     count: dict[str, int] = {}
-    for w in split:
-        for x in set(w):
+    for w in words:
+        for x in w:
             count[x] = count.get(x, 0) + 1
-    common = sorted((x for x, n in count.items() if spec.min_df <= n), key=lambda x: (-count[x], x))[: 4 * spec.vocabulary]
+    common = sorted((x for x, c in count.items() if spec.min_df <= c), key=lambda x: (-count[x], x))[: 4 * spec.vocabulary]
     place = {x: i for i, x in enumerate(common)}
-    x = np.zeros((len(texts), len(common)), np.float32)
-    for row, w in zip(x, split, strict=True):
-        row[[place[a] for a in set(w) if a in place]] = 1
+    x = np.zeros((n, len(common)), np.float32)
+    for row, w in zip(x, words, strict=True):
+        row[[place[a] for a in w if a in place]] = 1
     y = np.eye(k)[domains]
     weight = y / np.maximum(y.sum(0), 1)
     # The words whose presence differs most between domains, in standard errors.
-    rate = (x.T @ weight + 0.5 / max(1, len(texts))).clip(max=1)
+    rate = (x.T @ weight + 0.5 / max(1, n)).clip(max=1)
     spread = (rate.max(1) - rate.min(1)) / np.sqrt(rate.mean(1))
     best = np.sort(np.argsort(-spread, kind="stable")[: spec.vocabulary])
     x, common = x[:, best], [common[i] for i in best]
-    s = np.array([shapes(t, w) for t, w in zip(texts, split, strict=True)]).reshape(len(texts), -1)
-    mean, scale = s.mean(0), s.std(0) + 1e-6
-    x = np.concatenate([x, ((s - mean) / scale).astype(np.float32)], axis=1)
-    row = weight.sum(1) * len(texts) / max(1, int((y.sum(0) > 0).sum()))
+    mean, scale = shape.mean(0), shape.std(0) + 1e-6
+    x = np.concatenate([x, ((shape - mean) / scale).astype(np.float32)], axis=1)
+    row = weight.sum(1) * n / max(1, int((y.sum(0) > 0).sum()))
     w, b = np.zeros((x.shape[1], k), np.float32), np.zeros(k)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(300):
-        z = x @ w + b
-        p = np.exp(z - z.max(1, keepdims=True))
-        d = (p / p.sum(1, keepdims=True) - y) * (row / len(texts))[:, None]
+        d = (softmax(x @ w + b) - y) * (row / n)[:, None]
         vw = 0.9 * vw - 0.1 * (x.T @ d.astype(np.float32) + 1e-3 * w)
         vb = 0.9 * vb - 0.1 * d.sum(0)
         w, b = w + vw, b + vb
@@ -123,28 +172,53 @@ def train(texts: list[str], domains: list[int], spec: MixSpec) -> DomainModel:
     return DomainModel({a: i for i, a in enumerate(common)}, w[:n].astype(float), w[n:].astype(float), b, mean, scale)
 
 
+def train_folds(words: list[set[str]], shape: np.ndarray, tokens: np.ndarray, domains: np.ndarray, folds: np.ndarray, spec: MixSpec) -> FoldedModel | None:
+    """None where some fold leaves fewer than two domains to learn from."""
+    if any(len(set(domains[folds != f].tolist())) < 2 for f in range(spec.folds)):
+        return None
+    models = []
+    for f in range(spec.folds):
+        other = np.flatnonzero(folds != f)
+        models.append(train([words[i] for i in other], shape[other], domains[other], spec))
+    z = np.stack([models[f].logits(w, s) for w, s, f in zip(words, shape, folds.tolist(), strict=True)])
+    absent = np.array([d not in domains for d in range(len(DOMAINS))])
+    cool, bias = calibrate(z, domains, tokens + 1.0)
+    return FoldedModel(models, cool, np.where(absent, -1e9, bias))
+
+
 def posteriors(docs: DataFrame, labels: DataFrame, spec: MixSpec, id_col: str, text_col: str) -> DataFrame:
-    """__id, __tokens and p_<domain>, a row for each row of ``docs``."""
+    """__id, __hash (of the text), __tokens and p_<domain>, a row for each row of ``docs``."""
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1)
-    known = labels.select(F.col("doc_id").alias("__id"), domain.alias("__domain")).where("__domain IS NOT NULL AND __id IS NOT NULL").dropDuplicates(["__id"])
+    known = labels.select(F.col("doc_id").alias("__id"), domain.alias("__domain")).where("__domain IS NOT NULL AND __id IS NOT NULL")
+    known = known.groupBy("__id").agg(F.max("__domain").alias("__domain"))
     chosen = known.orderBy(F.xxhash64("__id", F.lit(spec.seed)), "__id").limit(spec.max_labelled)
-    source = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    sample = source.join(F.broadcast(chosen), "__id").dropDuplicates(["__id"]).collect()  # at most max_labelled rows
-    sample.sort(key=lambda r: r["__id"])
-    seen = {r["__domain"] for r in sample}
-    model = train([r["__text"] for r in sample], [r["__domain"] for r in sample], spec) if len(seen) > 1 else None
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    fold = F.pmod(F.xxhash64(F.col(id_col), F.lit(spec.seed + 1)), F.lit(spec.folds)).cast("int")
+    source = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__hash"), fold.alias("__fold"), text.alias("__text"))
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            split = [t.split() for t in x["__text"]]
+            yield pd.DataFrame({"__id": x["__id"], "__fold": x["__fold"], "__domain": x["__domain"], "words": [sorted(set(w)) for w in split],
+                                "shape": [shapes(t, w) for t, w in zip(x["__text"], split, strict=True)], "tokens": [len(w) for w in split]})
+
+    sample = source.join(F.broadcast(chosen), "__id").groupBy("__id", "__fold", "__domain").agg(F.min("__text").alias("__text"))
+    sample = sample.mapInPandas(features, f"__id {kind}, __fold int, __domain int, words array<string>, shape array<double>, tokens long").collect()  # at most max_labelled rows
+    sample.sort(key=lambda r: r["__id"])
+    column = lambda c, kind: np.array([r[c] for r in sample], kind)
+    model = train_folds([set(r["words"]) for r in sample], column("shape", float), *(column(c, np.int64) for c in ("tokens", "__domain", "__fold")), spec) if sample else None
+
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             texts = x["__text"].tolist()
             if model:
-                p, tokens = model.posteriors(texts)
+                p, tokens = model.posteriors(texts, x["__fold"].to_numpy())
             else:
                 p, tokens = np.full((len(texts), len(DOMAINS)), 1 / len(DOMAINS)), np.array([len(t.split()) for t in texts], np.int64)
-            yield pd.DataFrame({"__id": x["__id"], "__tokens": tokens, **{f"p_{d}": p[:, j] for j, d in enumerate(DOMAINS)}})
+            yield pd.DataFrame({"__id": x["__id"], "__hash": x["__hash"], "__tokens": tokens, **{f"p_{d}": p[:, j] for j, d in enumerate(DOMAINS)}})
 
-    return source.mapInPandas(predict, f"__id {kind}, __tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
+    return source.mapInPandas(predict, f"__id {kind}, __hash long, __tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
 
 
 def _rates(p: np.ndarray, history: list[np.ndarray], spec: MixSpec) -> np.ndarray:
@@ -165,7 +239,7 @@ def _collect(thin: DataFrame, numbers: int, run) -> np.ndarray:
             total += run(x[[f"p_{d}" for d in DOMAINS]].to_numpy(), x["__tokens"].to_numpy())
         yield pd.DataFrame([total], columns=names)
 
-    rows = thin.drop("__id").mapInPandas(task, ", ".join(f"{c} double" for c in names))
+    rows = thin.drop("__id", "__hash").mapInPandas(task, ", ".join(f"{c} double" for c in names))
     return np.array([float(v or 0) for v in rows.agg(*[F.sum(c) for c in names]).first()])
 
 
@@ -221,8 +295,8 @@ def fit_rates(thin: DataFrame, spec: MixSpec) -> tuple[list[np.ndarray], np.ndar
     return history, goal, sums
 
 
-def mix(docs: DataFrame, labels: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, tokens, p_<domain>, rate and copies, a row for each row of ``docs``."""
+def _mixed(docs: DataFrame, labels: DataFrame, spec: MixSpec, id_col: str, text_col: str) -> DataFrame:
+    """__id, __hash, __tokens, p_<domain>, __rate and __copies, a row for each row of ``docs``."""
     thin = materialise(posteriors(docs, labels, spec, id_col, text_col), "posteriors")
     history, _, _ = fit_rates(thin, spec)
 
@@ -231,22 +305,27 @@ def mix(docs: DataFrame, labels: DataFrame, spec: MixSpec = MixSpec(), id_col: s
         return pd.Series(_rates(np.stack([c.to_numpy() for c in p], axis=1), history, spec))
 
     u = F.pmod(F.xxhash64("__id", F.lit(spec.seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rated = thin.withColumn("rate", rate(*[F.col(f"p_{d}") for d in DOMAINS]))
-    return rated.select(F.col("__id").alias(id_col), F.col("__tokens").alias("tokens"), *[f"p_{d}" for d in DOMAINS], "rate",
-                        F.least(F.floor(F.col("rate") + u), F.lit(int(np.ceil(spec.max_rate)))).cast("int").alias("copies"))
+    copies = F.least(F.floor(F.col("__rate") + u), F.lit(int(np.ceil(spec.max_rate)))).cast("int")
+    return thin.withColumn("__rate", rate(*[F.col(f"p_{d}") for d in DOMAINS])).withColumn("__copies", copies)
+
+
+def mix(docs: DataFrame, labels: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, tokens, p_<domain>, rate and copies, a row for each row of ``docs``."""
+    rated = _mixed(docs, labels, spec, id_col, text_col)
+    return rated.select(F.col("__id").alias(id_col), F.col("__tokens").alias("tokens"), *[f"p_{d}" for d in DOMAINS], F.col("__rate").alias("rate"), F.col("__copies").alias("copies"))
 
 
 def emit(docs: DataFrame, labels: DataFrame, spec: MixSpec = MixSpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, with all their columns.
 
-    The rates come back to the texts by id; they are a row for each id, and Spark splits a
-    hot partition of texts. Rows of one id and different texts take the id's larger number.
+    The copies come back to the texts by id and text, which decide them, so rows that share an
+    id are judged one by one; Spark splits a hot partition of texts.
     """
-    found = materialise(mix(docs, labels, spec, id_col, text_col).select(F.col(id_col).alias("__mix_id"), "copies"), "copies")
-    copies = found.where(F.col("__mix_id").isNotNull()).groupBy("__mix_id").agg(F.max("copies").alias("__copies"))
-    other = copies.where(F.col("__copies") != 1)
-    if other.count() <= 500_000:
-        other = F.broadcast(other)  # at most 16 MB
-    joined = docs.join(other, F.col(id_col) == F.col("__mix_id"), "left").withColumn("__copies", F.coalesce("__copies", F.lit(1)))
-    out = joined.where(F.col("__copies") > 0)
-    return out.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[docs[c] for c in docs.columns])
+    a, b, c, n = fresh(docs, "mix_id", "mix_hash", "copies", "n")
+    found = _mixed(docs, labels, spec, id_col, text_col).where("__copies != 1").select(F.col("__id").alias(a), F.col("__hash").alias(b), F.col("__copies").alias(c))
+    other = materialise(found.groupBy(a, b).agg(F.max(c).alias(c)), "copies")
+    if other.count() <= BROADCAST_IDS:
+        other = F.broadcast(other)
+    same = F.col(id_col).eqNullSafe(F.col(a)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(b))
+    joined = docs.join(other, same, "left").withColumn(c, F.coalesce(c, F.lit(1)))
+    return joined.where(F.col(c) > 0).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*[docs[x] for x in docs.columns])

@@ -2,51 +2,82 @@
 
 A 64-bit fingerprint can't find such copies: at a Jaccard similarity of 0.8 about 15 % of
 its bits differ, ten of 64, and an index for ten differing bits prunes nothing. So the
-signature is wider: ``tables`` codes of 32 bits. Two texts are candidates if some code
-differs by at most ``code_bits`` bits, which two texts of similarity 0.8 do in 99 % of
-cases, and the last ``check_words`` words of their signatures differ by at most
-``check_bits``, far beyond what two such texts differ by. Candidates are linked only where the
-exact Jaccard similarity of their shingles is ``min_similarity``.
-
-By the pigeonhole principle two such codes agree on one of ``code_bits`` + 1 bytes. Codes
-are dealt by table, byte number and byte value; each such group is searched with the
-Gray-order index of ``simhash`` and returns a spanning forest of its nearest candidates, never
-all pairs. Where a similarity refutes a tree's edge, its tree is searched once more for every
+signature is wider and holds many codes of ``code_bits`` + 1 parts each. Two texts are
+candidates if some code differs by at most ``code_bits`` bits, and the last ``check_words``
+words of their signatures by at most ``check_bits``. The number of codes follows from
+``min_recall``, the share of pairs at ``min_similarity`` that are to meet in some code; the
+number of bits of a part from the number of rows, so that groups stay small. Candidates are linked
+only where the exact Jaccard similarity of their shingles is ``min_similarity``.
+
+By the pigeonhole principle two such codes agree on one of their parts. Codes are dealt by table,
+part and value; each such group is searched with the Gray-order index of ``simhash`` and returns a
+spanning forest of its nearest candidates, never all pairs. Groups of more than ``group_rows`` are
+cut in slices, and every two slices are a task, so that no task grows with the input. The first
+``first_tables`` tables are searched and confirmed first; pairs inside a class found so far are
+then left out. Where a similarity refutes a tree's edge, its tree is searched once more for every
 candidate pair of two classes, so that no link hangs on a refuted one. Texts of equal shingles
 are one node from the start, so that copies cost nothing there.
 
 Defined cases: as in ``simhash``; texts of fewer than ``shingle`` words have one shingle,
-the whole text, and texts without words are copies of each other.
+the whole text, and texts without words are copies of each other. Any column may be null or have
+any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_IDS, materialise
+from ._common import BROADCAST_IDS, fresh, materialise, without_texts
 from .components import connected_components
 from .simhash import GrayIndex, gray_rank, union_classes
 
 
 @dataclass(frozen=True)
 class NearCopySpec:
+    """``group_rows`` and ``values_per_task`` bound a task and change no result; ``part_bits``: None, from the rows."""
+
     shingle: int = 5
-    tables: int = 18
-    code_bits: int = 3
-    check_words: int = 4
-    check_bits: int = 64
     min_similarity: float = 0.8
+    min_recall: float = 0.99
+    code_bits: int = 2
+    part_bits: int | None = None
+    first_tables: int = 3
+    check_words: int = 4
+    check_bits: int = 56
+    group_rows: int = 100_000
     values_per_task: int = 16
     codes_per_task: int = 10_000
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Codes of a signature: ``tables`` codes of ``parts`` parts of ``bits`` bits, one behind the other, in ``words`` words."""
+
+    parts: int
+    bits: int
+    tables: int
+    words: int
+
+
+def layout(rows: int, spec: NearCopySpec) -> Layout:
+    """Parts are wide enough for at most 65,536 rows a value on average, and 8 bits at least."""
+    parts = spec.code_bits + 1
+    bits = spec.part_bits or max(8, math.ceil(math.log2(max(rows, 1) / 65_536)))
+    cosine = 2 * spec.min_similarity / (1 + spec.min_similarity)  # of two sets of one size
+    differ, n = math.acos(cosine) / math.pi, parts * bits
+    meet = sum(math.comb(n, k) * differ**k * (1 - differ) ** (n - k) for k in range(spec.code_bits + 1))
+    tables = math.ceil(math.log(1 - spec.min_recall) / math.log(1 - meet))
+    return Layout(parts, bits, tables, max(8, -(-tables * n // 64)))
+
+
 def shingle_hashes(text: str | None, spec: NearCopySpec) -> np.ndarray:
     """Sorted hashes of the distinct shingles."""
     words = (text or "").encode("utf-8", "replace").lower().split()
@@ -61,17 +92,10 @@ def shingle_hashes(text: str | None, spec: NearCopySpec) -> np.ndarray:
     return np.unique(np.fromiter((digest(p, 42) for p in pieces), np.uint64, len(pieces)))
 
 
-def signature(text: str | None, spec: NearCopySpec) -> bytes:
-    """``tables`` / 2 words of 64 bits; each bit is the majority of that bit over the distinct shingles' hashes."""
-    return _signature(shingle_hashes(text, spec), spec)
-
-
-def _signature(hashes: np.ndarray, spec: NearCopySpec) -> bytes:
-    width = spec.tables // 2
-    if not len(hashes):
-        return bytes(8 * width)
-    out = np.empty(width, np.uint64)
-    for j in range(width):
+def signature(hashes: np.ndarray, words: int) -> np.ndarray:
+    """Words of 64 bits; each bit is the majority of that bit over the distinct shingles' hashes."""
+    out = np.zeros(words, np.uint64)
+    for j in range(words if len(hashes) else 0):
         mixed = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * j)
         mixed ^= mixed >> np.uint64(29)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
@@ -81,7 +105,7 @@ def _signature(hashes: np.ndarray, spec: NearCopySpec) -> bytes:
             part = mixed[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8)
             ones += np.add.reduce(np.unpackbits(part, axis=1, bitorder="little"), axis=0, dtype=np.int32)
         out[j] = np.packbits(2 * ones > len(mixed), bitorder="little").view(np.uint64)[0]
-    return out.tobytes()
+    return out
 
 
 def _tree(parent: np.ndarray, q: np.ndarray, p: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,70 +187,100 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: NearCo
     return materialise(both.select("u", "v", alike("__a", "__b").alias("__same")).where("__same").select("u", "v"), "links")
 
 
+def _deal(nodes: DataFrame, tables: range, form: Layout, spec: NearCopySpec) -> DataFrame:
+    """__task, __key, __code, c<j>, __node and __label, a row for each part of each code; hot keys in slices."""
+    sig, n = F.col("__sig"), form.bits
+
+    def part(at: int) -> Column:
+        word, low = divmod(at * n, 64)
+        value = F.shiftrightunsigned(F.get(sig, F.lit(word)), low)
+        if low + n > 64:
+            value = value.bitwiseOR(F.shiftleft(F.get(sig, F.lit(word + 1)), 64 - low))
+        return value.bitwiseAND(F.lit((1 << n) - 1))
+
+    def code(t: int) -> Column:
+        return reduce(lambda a, p: a.bitwiseOR(F.shiftleft(part(t * form.parts + p), p * n)), range(1, form.parts), part(t * form.parts))
+
+    dealt = [F.struct((F.lit((t * form.parts + p) << n) + part(t * form.parts + p)).alias("k"), code(t).alias("c")) for t in tables for p in range(form.parts)]
+    checks = [F.get(sig, F.lit(form.words - 1 - j)).alias(f"c{j}") for j in range(spec.check_words)]
+    rows = nodes.select("__node", "__label", *checks, F.explode(F.array(*dealt)).alias("__d"))
+    rows = rows.select(F.col("__d.k").alias("__key"), F.col("__d.c").alias("__code"), *[f"c{j}" for j in range(spec.check_words)], "__node", "__label")
+    # Byte values searched by one task: fewer where there are more signatures. It changes no result.
+    per = max(1, min(spec.values_per_task, (spec.codes_per_task << n) // max(1, nodes.count())))
+    rows = rows.withColumn("__task", F.shiftleft(F.floor(F.col("__key") / per).cast("long"), 24))
+    hot = rows.groupBy("__key").count().where(F.col("count") > spec.group_rows)
+    hot = materialise(hot.select("__key", F.ceil(2 * F.col("count") / spec.group_rows).cast("int").alias("__slices")), "hot")
+    if hot.isEmpty():
+        return rows
+    rows = rows.join(hot, "__key", "left")
+    own, other = F.pmod(F.xxhash64("__node"), F.col("__slices")), F.col("__other")
+    pair = F.least(own, other) * F.col("__slices") + F.greatest(own, other)
+    sliced = rows.where("__slices IS NOT NULL").withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__slices") - 1)))
+    sliced = sliced.withColumn("__task", F.xxhash64("__key", pair)).drop("__other", "__slices")
+    return rows.where("__slices IS NULL").drop("__slices").unionByName(sliced)
+
+
+def _candidates(nodes: DataFrame, tables: range, every: bool, form: Layout, spec: NearCopySpec) -> DataFrame:
+    """Candidate pairs (u, v), u > v, of nodes with different labels: a forest of each group, or every one."""
+    checks = [f"c{j}" for j in range(spec.check_words)]
+
+    def search(x: pd.DataFrame) -> pd.DataFrame:
+        x = x.sort_values("__key", kind="stable")
+        code, node, label = (x[c].to_numpy(np.int64) for c in ("__code", "__node", "__label"))
+        check = np.stack([x[c].to_numpy(np.int64).view(np.uint64) for c in checks], axis=1)
+        cuts = np.flatnonzero(np.diff(x["__key"].to_numpy(), prepend=-1))
+        found = [_group_pairs(code[a:b], check[a:b], node[a:b], label[a:b], every, spec) for a, b in zip(cuts, [*cuts[1:], len(x)], strict=True) if b - a > 1]
+        return pd.DataFrame({"u": np.concatenate([f[0] for f in found] or [node[:0]]), "v": np.concatenate([f[1] for f in found] or [node[:0]])})
+
+    return _deal(nodes, tables, form, spec).groupBy("__task").applyInPandas(search, "u long, v long").distinct()
+
+
 def copy_groups(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """__id, __text_hash, __group and __group_hash (the least id of the row's group and its text's hash), a row for each row of ``docs`` with an id."""
+    form = layout(docs.count(), spec)
 
-    @F.pandas_udf("binary")
-    def sign(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<sig: array<long>, whole: binary>")
+    def sign(texts: pd.Series) -> pd.DataFrame:
         known: dict = {}
         for t in texts:
             if t not in known:
                 h = shingle_hashes(t, spec)
-                known[t] = _signature(h, spec) + xxhash.xxh3_128_digest(h.tobytes())
-        return pd.Series([known[t] for t in texts])
+                known[t] = (signature(h, form.words).view(np.int64), xxhash.xxh3_128_digest(h.tobytes()))
+        return pd.DataFrame({"sig": [known[t][0] for t in texts], "whole": [known[t][1] for t in texts]})
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    signed = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__text_hash"), sign(text).alias("__sig")).where("__id IS NOT NULL")
-    signed = materialise(signed, "signatures")
+    signed = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__text_hash"), sign(text).alias("__s")).where("__id IS NOT NULL")
+    signed = materialise(signed.select("__id", "__text_hash", F.col("__s.sig").alias("__sig"), F.col("__s.whole").alias("__whole")), "signatures")
     least = F.min(F.struct("__id", "__text_hash")).alias("__least")
-    nodes = signed.groupBy("__sig").agg(least).select("__sig", F.xxhash64("__sig").alias("__node"), "__least.*")
+    nodes = signed.groupBy("__whole").agg(least, F.any_value("__sig").alias("__sig")).select("__whole", F.xxhash64("__whole").alias("__node"), "__sig", "__least.*")
     nodes = materialise(nodes, "nodes")
-    # Byte values searched by one task: fewer where there are more signatures. It changes no result.
-    per = max(1, min(spec.values_per_task, spec.codes_per_task * 256 // max(1, nodes.count())))
-    tables, checks = spec.tables, spec.check_words
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            if not len(x):
-                continue
-            words = np.frombuffer(b"".join(x["__sig"]), "<u8").reshape(len(x), -1)[:, : tables // 2].copy()
-            codes = words.view("<u4")
-            check = {f"c{j}": words[:, -1 - j].view(np.int64) for j in range(checks)}
-            for t in range(tables):
-                for part in range(spec.code_bits + 1):
-                    value = (codes[:, t] >> np.uint32(8 * part) & np.uint32(255)).astype(np.int32)
-                    yield pd.DataFrame({"k": (t * 8 + part) * 256 + value // per, "v": value, "code": codes[:, t].view(np.int32), **check, "node": x["__node"].to_numpy(), "label": x["__label"].to_numpy()})
-
-    def search(x: pd.DataFrame, every: bool) -> pd.DataFrame:
-        x = x.sort_values("v", kind="stable")
-        code, node, label = x["code"].to_numpy(np.int32).view(np.uint32), x["node"].to_numpy(np.int64), x["label"].to_numpy(np.int64)
-        check = np.stack([x[f"c{j}"].to_numpy(np.int64).view(np.uint64) for j in range(checks)], axis=1)
-        cuts = np.flatnonzero(np.diff(x["v"].to_numpy(), prepend=-1))
-        found = [_group_pairs(code[a:b], check[a:b], node[a:b], label[a:b], every, spec) for a, b in zip(cuts, [*cuts[1:], len(x)], strict=True) if b - a > 1]
-        return pd.DataFrame({"u": np.concatenate([f[0] for f in found] or [node[:0]]), "v": np.concatenate([f[1] for f in found] or [node[:0]])})
-
-    def pairs(of: DataFrame, every: bool) -> DataFrame:
-        dealt = of.mapInPandas(deal, "k int, v int, code int, " + "".join(f"c{j} long, " for j in range(checks)) + "node long, label long")
-        return materialise(dealt.groupBy("k").applyInPandas(lambda x: search(x, every), "u long, v long").distinct(), "pairs")
 
     def classes(edges: DataFrame, name: str) -> DataFrame:
         return connected_components(edges).select(F.col("u").alias("__node"), F.col("v").alias(name))
 
-    tried = pairs(nodes.withColumn("__label", F.col("__node")), False)
-    links = _confirmed(tried, nodes, docs, spec, id_col, text_col)
+    def labelled(links: DataFrame | None) -> DataFrame:
+        if links is None:
+            return nodes.withColumn("__label", F.col("__node"))
+        return nodes.join(classes(links, "__label"), "__node", "left").withColumn("__label", F.coalesce("__label", "__node"))
+
+    links = tried = None
+    for tables in (range(spec.first_tables), range(spec.first_tables, form.tables)):
+        pairs = _candidates(labelled(links) if links is None else materialise(labelled(links), "labels"), tables, False, form, spec)
+        pairs = materialise(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
+        found = _confirmed(pairs, nodes, docs, spec, id_col, text_col)
+        tried, links = (pairs, found) if links is None else (tried.union(pairs), links.union(found))
     refuted = materialise(tried.join(links, ["u", "v"], "left_anti"), "refuted")
     if not refuted.isEmpty():  # every candidate pair of two classes, in the trees that lost an edge
-        trees = classes(tried, "__tree")
-        named = materialise(nodes.join(trees, "__node", "left").withColumn("__tree", F.coalesce("__tree", "__node")), "trees")
-        broken = named.join(refuted.select(F.col("u").alias("__node")).distinct(), "__node").select("__tree").distinct()
-        again = named.join(broken, "__tree", "left_semi").join(classes(links, "__label"), "__node", "left")
-        again = materialise(again.select("__sig", "__node", F.coalesce("__label", "__node").alias("__label")), "again")
-        more = pairs(again, True).join(refuted, ["u", "v"], "left_anti")
+        trees = labelled(links).join(classes(tried, "__tree"), "__node", "left").withColumn("__tree", F.coalesce("__tree", "__node"))
+        trees = materialise(trees, "trees")
+        broken = trees.join(refuted.select(F.col("u").alias("__node")).distinct(), "__node").select("__tree").distinct()
+        again = materialise(trees.join(broken, "__tree", "left_semi").select("__sig", "__node", "__label"), "again")
+        more = _candidates(again, range(form.tables), True, form, spec).join(refuted, ["u", "v"], "left_anti")
         links = links.union(_confirmed(materialise(more, "more"), nodes, docs, spec, id_col, text_col))
-    named = materialise(nodes.join(classes(links, "__of"), "__node", "left").withColumn("__of", F.coalesce("__of", "__node")), "classes")
-    heads = named.groupBy("__of").agg(least).select("__of", F.col("__least.__id").alias("__group"), F.col("__least.__text_hash").alias("__group_hash"))
-    groups = materialise(named.join(materialise(heads, "heads"), "__of").select("__sig", "__group", "__group_hash"), "named")
-    return signed.join(groups, "__sig").select("__id", "__text_hash", "__group", "__group_hash")
+    named = materialise(labelled(links).drop("__sig"), "classes")
+    heads = named.groupBy("__label").agg(least).select("__label", F.col("__least.__id").alias("__group"), F.col("__least.__text_hash").alias("__group_hash"))
+    groups = materialise(named.join(materialise(heads, "heads"), "__label").select("__whole", "__group", "__group_hash"), "named")
+    return signed.drop("__sig").join(groups, "__whole").select("__id", "__text_hash", "__group", "__group_hash")
 
 
 def deduplicate(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,11 +290,9 @@ def deduplicate(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: st
     """
     groups = materialise(copy_groups(docs, spec, id_col, text_col), "groups")
     head = (F.col("__id") == F.col("__group")) & (F.col("__text_hash") == F.col("__group_hash"))
-    surplus = materialise(groups.where(~head).select(F.col("__id").alias("__gone"), F.col("__text_hash").alias("__gone_hash")).distinct(), "gone")
-    surplus = F.broadcast(surplus) if surplus.count() <= BROADCAST_IDS else surplus
-    own = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = own.join(surplus, (F.col(id_col) == F.col("__gone")) & (F.col("__hash") == F.col("__gone_hash")), "left_anti")
-    twice = groups.where(head).groupBy("__id", "__text_hash").count().where("count > 1")
-    if not twice.isEmpty():
-        kept = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, "__hash"]).unionByName(kept.where(F.col(id_col).isNull()))
-    return kept.drop("__hash")
+    kept = without_texts(docs, groups.where(~head).select("__id", "__text_hash"), id_col, text_col)
+    if groups.where(head).groupBy("__id", "__text_hash").count().where("count > 1").isEmpty():
+        return kept
+    (own,) = fresh(docs, "hash")
+    kept = kept.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, own]).unionByName(kept.where(F.col(id_col).isNull())).drop(own)

@@ -14,7 +14,8 @@ ROWS = [
 BASE = "doc_id long, text string, lang string, source string"
 #: Columns with the names that the operators give to their own.
 EXTRA = ["n_words", "base_failed", "kept", "shard", "slot", "size", "spans", "fingerprint", "component_id", "score", "lang_pred", "tokens", "start",
-         "copies", "rate", "host", "__id", "__text", "__host", "__code", "__row", "n", "x", "u", "v", "cosine", "family", "probability", "held_out"]
+         "copies", "rate", "host", "__id", "__text", "__host", "__code", "__row", "n", "x", "u", "v", "cosine", "family", "probability", "held_out",
+         "__gone", "__gone_hash", "__hash", "__n", "__copies", "__mix_id", "__mix_hash", "__label", "__node", "__key", "__task"]
 
 
 def operators(spark):
