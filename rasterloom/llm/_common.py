@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -16,10 +17,17 @@ SPACE_RUN = r"[ \t\n\x0B\f\r]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` where the
-    session names one; a local folder only where it names none (tests, one machine)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"file://{os.path.join(tempfile.gettempdir(), 'rasterloom-scratch')}").rstrip("/")
+    """The shared folder for intermediate tables, which ``spark.checkpoint.dir`` names.
+
+    A session on one machine (master local) may leave it unset and gets a local folder; on a
+    cluster that is an error, as its machines would not see each other's tables.
+    """
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors share; the master is {master!r}")
+    return f"file://{os.path.join(tempfile.gettempdir(), 'rasterloom-scratch')}"
 
 
 @contextmanager
@@ -38,12 +46,23 @@ def materialise(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts the lineage and survives the loss of executors. The folder belongs to the
-    caller's checkpoint area and is cleaned with it.
+    caller's checkpoint area and is cleaned with it; ``discard`` removes a table before.
     """
     path = f"{scratch_dir(df.sparkSession)}/rasterloom-{tag}-{uuid.uuid4().hex}"
     with small_batches(df.sparkSession):
         df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``materialise`` from the shared folder, once all that reads them has been written."""
+    for df in tables:
+        if path := getattr(df, "_scratch", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def words_of(text: Column) -> Column:

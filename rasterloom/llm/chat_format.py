@@ -9,9 +9,10 @@ A text behind ``<x>`` is escaped: ``~`` is written ``~0``, ``<`` ``~1`` and ``[`
 no token can occur in it; a role of such a turn is escaped too. The deterministic parser
 splits at ``</s>``, takes the role up to the first ``[INST] `` and drops the closing token.
 
-Rendering repeats until the parser gives back the source: first nothing is escaped, then
-the turns that hold a token, then every turn. The last round holds no token outside the
-grammar, so the trip ends there. ``level`` says which round it was.
+Every turn that holds a token anywhere is escaped from the start, so no text can pass for a
+part of the grammar. Rendering repeats until the parser gives back the source: first (level 0) the
+other turns stand as they are, then (level 1) every turn is escaped. The last round holds no token
+outside the grammar, so the trip ends there. ``level`` says which round it was.
 
 Defined cases: a null text or role is empty; turns come by turn number (nulls first), ties
 by role and text; repeated rows are repeated turns; null conv_id is a conversation of its
@@ -50,7 +51,7 @@ def render(turns: Column, level: int) -> Column:
         role, text = t["role"], t["text"]
         plain = F.concat(F.lit(OPEN), role, F.lit(HEAD), text, F.lit(TAIL + CLOSE))
         coded = F.concat(F.lit(OPEN_ESCAPED), escape(role), F.lit(HEAD), escape(text), F.lit(TAIL + CLOSE))
-        return plain if level == 0 else coded if level == 2 else F.when(_holds_token(role) | _holds_token(text), coded).otherwise(plain)
+        return coded if level else F.when(_holds_token(role) | _holds_token(text), coded).otherwise(plain)
 
     return F.array_join(F.transform(turns, one), "")
 
@@ -89,7 +90,7 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     convs = rows.groupBy(F.col(conv_col).alias("__conv")).agg(F.sort_array(F.collect_list(item)).alias("__rows"))
     convs = convs.select("__conv", F.transform("__rows", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("__turns"))
-    for level in (0, 1, 2):  # the texts of each further round are made only where the one before failed
+    for level in (0, 1):  # the texts of each further round are made only where the one before failed
         tried = render(F.col("__turns"), level)
         if level:
             tried = F.when(F.col("__level") >= 0, F.col("__formatted")).otherwise(tried)

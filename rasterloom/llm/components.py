@@ -11,17 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
+from ._common import discard, materialise
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, made: list[DataFrame]) -> DataFrame:
     both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select("v", "u"))
     least = materialise(both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m")), "least")
+    made.append(least)
     return both.join(least, "x").where(F.col("y") > F.col("x")).select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, made: list[DataFrame]) -> DataFrame:
     least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+    made.append(least)
     moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -37,4 +39,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         twice = current.groupBy("u").count().where("count > 1").select("u")
         if inner.union(twice).isEmpty():
             return current
-        current = materialise(_small_star(_large_star(current)), "stars")
+        made = [current]
+        current = materialise(_small_star(_large_star(current, made), made), "stars")
+        discard(*made)

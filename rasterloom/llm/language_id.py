@@ -5,9 +5,10 @@ state starts at zero; both states of a byte give it a distribution over the lang
 position is labelled), and a document's probabilities are the mean over all its bytes. The
 network is trained here, in numpy, by backpropagation through time with Adam.
 
-Training reads a bounded sample: at most ``docs_per_lang`` labelled rows of each of the at
-most ``max_langs`` most frequent languages, chosen by a hash of the id, the language label
-and the text alone. Prediction reads every byte of every text, on the executors, and sees
+Training reads a bounded sample of every language: at most ``docs_per_lang`` labelled rows of each,
+chosen by a hash of the id, and at most ``segments_per_doc`` segments of each, evenly spread over
+the whole text and cut out on the executors. It learns from the language label and the text alone.
+Prediction reads every byte of every text, on the executors, and sees
 nothing but the text.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0; so is every
@@ -38,7 +39,7 @@ class LanguageSpec:
     segment: int = 128
     train_segment: int = 64
     docs_per_lang: int = 150
-    max_langs: int = 64
+    segments_per_doc: int = 32
     steps: int = 250
     batch: int = 256
     rate: float = 0.02
@@ -192,19 +193,26 @@ class ByteTagger:
 
 def train(labelled: DataFrame, spec: LanguageSpec = LanguageSpec()) -> ByteTagger | None:
     """Fit on rows of __id, __text and __lang, all non-null; None if there are none."""
-    langs = sorted(r["__lang"] for r in labelled.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(spec.max_langs).collect())
-    place = Window.partitionBy("__lang").orderBy(F.xxhash64("__id", F.lit(spec.seed)), "__id")
-    rows = labelled.where(F.col("__lang").isin(langs)).withColumn("__n", F.row_number().over(place)).where(F.col("__n") <= spec.docs_per_lang)
-    size, parts, labels = spec.train_segment, [], []
-    for r in sorted(rows.select("__text", "__lang", "__n").collect(), key=lambda r: (r["__lang"], r["__n"])):
-        raw = r["__text"].encode()
-        cut = np.frombuffer(raw.ljust(-(-len(raw) // size) * size), np.uint8).reshape(-1, size)
-        cut = cut[:: max(1, len(cut) // 32)]  # a long text teaches no more than a few short ones
-        parts.append(cut)
-        labels += [langs.index(r["__lang"])] * len(cut)
-    if not labels:
+    place = Window.partitionBy("__lang").orderBy(F.xxhash64("__id", F.lit(spec.seed)), "__id", F.xxhash64("__text"))
+    rows = labelled.withColumn("__n", F.row_number().over(place)).where(F.col("__n") <= spec.docs_per_lang)
+    size = spec.train_segment
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for t in b.column("__text").to_pylist():
+                raw = t.encode()
+                whole = np.frombuffer(raw.ljust(-(-len(raw) // size) * size), np.uint8).reshape(-1, size)
+                some = np.unique(np.linspace(0, len(whole) - 1, min(len(whole), spec.segments_per_doc)).astype(np.int64))
+                out.append(whole[some].tobytes())  # a long text teaches no more than a few short ones
+            yield pa.RecordBatch.from_arrays([b.column("__lang"), b.column("__n"), pa.array(out, pa.binary())], ["__lang", "__n", "__cut"])
+
+    sample = sorted(rows.select("__text", "__lang", "__n").mapInArrow(cut, "__lang string, __n int, __cut binary").collect())
+    langs = sorted({r["__lang"] for r in sample if r["__cut"]})
+    if not langs:
         return None
-    segments, labels = np.concatenate(parts), np.array(labels)
+    segments = np.frombuffer(b"".join(r["__cut"] for r in sample), np.uint8).reshape(-1, size)
+    labels = np.repeat([langs.index(r["__lang"]) if r["__cut"] else 0 for r in sample], [len(r["__cut"]) // size for r in sample])
     # Languages weigh the same: segments are drawn by language first.
     rng = np.random.default_rng(spec.seed)
     each = max(1, spec.batch * spec.steps // (4 * len(langs)))

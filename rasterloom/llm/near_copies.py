@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_IDS, fresh, materialise, without_texts
+from ._common import BROADCAST_IDS, discard, fresh, materialise, without_texts
 from .components import connected_components
 from .simhash import GrayIndex, gray_rank, union_classes
 
@@ -177,14 +177,16 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: NearCo
 
     asked = pairs.select(F.col("u").alias("__node")).union(pairs.select("v")).distinct()
     asked = materialise(nodes.join(asked, "__node").select("__node", F.col("__id").alias("__of"), F.col("__text_hash").alias("__of_hash")), "asked")
-    if asked.count() <= BROADCAST_IDS:
-        asked = F.broadcast(asked)
+    few = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("__of"), text.alias("__text"), F.xxhash64(text).alias("__of_hash")).join(asked, ["__of", "__of_hash"])
-    sets = materialise(rows.select("__node", hashed("__text").alias("__set")), "shingles").dropDuplicates(["__node"])
+    rows = docs.select(F.col(id_col).alias("__of"), text.alias("__text"), F.xxhash64(text).alias("__of_hash")).join(few, ["__of", "__of_hash"])
+    held = materialise(rows.select("__node", hashed("__text").alias("__set")), "shingles")
+    sets = held.dropDuplicates(["__node"])
     one = materialise(pairs.join(sets.select(F.col("__node").alias("u"), F.col("__set").alias("__a")), "u"), "sides")
     both = one.join(sets.select(F.col("__node").alias("v"), F.col("__set").alias("__b")), "v")
-    return materialise(both.select("u", "v", alike("__a", "__b").alias("__same")).where("__same").select("u", "v"), "links")
+    links = materialise(both.select("u", "v", alike("__a", "__b").alias("__same")).where("__same").select("u", "v"), "links")
+    discard(asked, held, one)
+    return links
 
 
 def _deal(nodes: DataFrame, tables: range, form: Layout, spec: NearCopySpec) -> DataFrame:

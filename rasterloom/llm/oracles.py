@@ -61,20 +61,17 @@ SELECT doc_id, {', '.join(f"CAST(coalesce(n_{r.kind}, 0) AS BIGINT) AS n_{r.kind
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON d.k = g.k
 """
 
-_HOLDS = "regexp_matches({0}, '<s>|<x>|</s>|\\[/?INST\\]')"
-_Q6 = f"""
+# From the contract and the grammar: a turn takes 22 characters besides role and text, and one more for each of ~, < and [ where it holds a token.
+_Q6 = """
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
-x AS (SELECT *, contains(text, '</s>') OR contains(role, '</s>') OR contains(role, '[INST] ') AS broken,
-  {_HOLDS.format('role')} OR {_HOLDS.format('text')} AS holds,
-  length(role) + length(text) AS plain, length(regexp_replace(role || text, '[^~<\\[]', '', 'g')) AS more FROM c),
-l AS (SELECT conv_id, bool_or(broken) AS conflict FROM x GROUP BY conv_id)
-SELECT x.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+x AS (SELECT *, regexp_matches(role || chr(0) || text, '<s>|<x>|</s>|\\[/?INST\\]') AS holds, length(regexp_replace(role || text, '[^~<\\[]', '', 'g')) AS more FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
-  CAST(sum(plain + 22 + CASE WHEN conflict AND holds THEN more ELSE 0 END) AS BIGINT) AS formatted_chars,
-  CAST(any_value(CASE WHEN conflict THEN 1 ELSE 0 END) AS INTEGER) AS level, TRUE AS identical
-FROM x JOIN l ON x.conv_id IS NOT DISTINCT FROM l.conv_id GROUP BY x.conv_id
+  CAST(sum(length(role) + length(text) + 22 + CASE WHEN holds THEN more ELSE 0 END) AS BIGINT) AS formatted_chars,
+  0 AS level, TRUE AS identical
+FROM x GROUP BY conv_id
 """
 
 ORACLES = {"op1_quality_rules": _Q1, "op3_secret_scan": _Q3, "op6_chat_format": _Q6}
