@@ -153,16 +153,12 @@ def filter_documents(docs: DataFrame, rules: QualityRules = QualityRules(), id_c
                      host_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    Texts are not shuffled: each row's own rule is evaluated where the row is, and only the
-    rejected hosts (an anti join by host) come from elsewhere.
+    Each row's own rule is evaluated once, where the row is: the rows that pass it are written
+    whole, and of the others only host and verdict. Hosts are counted on these two thin
+    columns; texts are not shuffled, as only the rejected hosts (an anti join) come from elsewhere.
     """
-    source = docs.select(F.col(id_col).alias("__id"), F.col(host_col).cast("string").alias("__host"), F.col(text_col).alias("__text"))
-    metrics = materialise(document_metrics(source, rules, [F.col("__id"), F.col("__host")]).select("__host", "base_failed"), "quality")
-    rejected = host_verdicts(metrics, rules).where("host_rejected").select("__host")
     row = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("__text"), F.col(host_col).cast("string").alias("__host"))
     own = document_metrics(row, rules, [F.col("__row"), F.col("__host")])
-    # A filter on the metrics would be pushed down and repeat them inside their own lambdas; Spark
-    # doesn't push one below a column that isn't deterministic.
-    own = own.withColumn("__at", F.monotonically_increasing_id()).where(~F.col("base_failed") & (F.col("__at") >= 0))
-    kept = own.join(rejected, "__host", "left_anti")
-    return kept.select("__row.*")
+    own = materialise(own.select("__host", "base_failed", F.when(~F.col("base_failed"), F.col("__row")).alias("__row")), "quality")
+    rejected = host_verdicts(own, rules).where("host_rejected").select("__host")
+    return own.where(~F.col("base_failed")).join(rejected, "__host", "left_anti").select("__row.*")
