@@ -31,6 +31,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,27 +140,30 @@ def calibrate(z: np.ndarray, domains: np.ndarray, weight: np.ndarray, steps: int
     return (float(theta[0]), theta[1:]) if theta[0] > 0 else (0.0, theta[1:])
 
 
-def train(words: list[set[str]], shape: np.ndarray, domains: np.ndarray, spec: MixSpec) -> DomainModel:
-    """Softmax regression with classes weighed alike, by gradient descent in numpy."""
-    k, n = len(DOMAINS), len(words)
-    count: dict[str, int] = {}
-    for w in words:
-        for x in w:
-            count[x] = count.get(x, 0) + 1
-    common = sorted((x for x, c in count.items() if spec.min_df <= c), key=lambda x: (-count[x], x))[: 4 * spec.vocabulary]
-    place = {x: i for i, x in enumerate(common)}
-    x = np.zeros((n, len(common)), np.float32)
-    for row, w in zip(x, words, strict=True):
-        row[[place[a] for a in w if a in place]] = 1
+def train(rows: list[np.ndarray], names: np.ndarray, shape: np.ndarray, domains: np.ndarray, spec: MixSpec) -> tuple[DomainModel, np.ndarray]:
+    """Softmax regression with classes weighed alike, by gradient descent in numpy; and each word's place in it, or -1.
+
+    ``rows`` holds each text's distinct words as places in ``names``.
+    """
+    k, n = len(DOMAINS), len(rows)
+    flat, size = np.concatenate(rows), np.array([len(r) for r in rows])
+    count = np.bincount(flat, minlength=len(names))
+    order = np.lexsort((names, -count))
+    common = order[count[order] >= spec.min_df][: 4 * spec.vocabulary]
     y = np.eye(k)[domains]
     weight = y / np.maximum(y.sum(0), 1)
     # The words whose presence differs most between domains, in standard errors.
-    rate = (x.T @ weight + 0.5 / max(1, n)).clip(max=1)
+    rate = np.stack([np.bincount(flat, np.repeat(weight[:, j], size), len(names))[common] for j in range(k)], axis=1)
+    rate = (rate + 0.5 / n).clip(max=1)
     spread = (rate.max(1) - rate.min(1)) / np.sqrt(rate.mean(1))
-    best = np.sort(np.argsort(-spread, kind="stable")[: spec.vocabulary])
-    x, common = x[:, best], [common[i] for i in best]
+    common = common[np.sort(np.argsort(-spread, kind="stable")[: spec.vocabulary])]
+    place = np.full(len(names), -1)
+    place[common] = np.arange(len(common))
+    x = np.zeros((n, len(common) + shape.shape[1]), np.float32)
+    hit = place[flat]
+    x[np.repeat(np.arange(n), size)[hit >= 0], hit[hit >= 0]] = 1
     mean, scale = shape.mean(0), shape.std(0) + 1e-6
-    x = np.concatenate([x, ((shape - mean) / scale).astype(np.float32)], axis=1)
+    x[:, len(common) :] = (shape - mean) / scale
     row = weight.sum(1) * n / max(1, int((y.sum(0) > 0).sum()))
     w, b = np.zeros((x.shape[1], k), np.float32), np.zeros(k)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
@@ -168,24 +172,35 @@ def train(words: list[set[str]], shape: np.ndarray, domains: np.ndarray, spec: M
         vw = 0.9 * vw - 0.1 * (x.T @ d.astype(np.float32) + 1e-3 * w)
         vb = 0.9 * vb - 0.1 * d.sum(0)
         w, b = w + vw, b + vb
-    n = len(common)
-    return DomainModel({a: i for i, a in enumerate(common)}, w[:n].astype(float), w[n:].astype(float), b, mean, scale)
+    m = len(common)
+    return DomainModel({str(names[i]): j for j, i in enumerate(common)}, w[:m].astype(float), w[m:].astype(float), b, mean, scale), place
 
 
-def train_folds(words: list[set[str]], shape: np.ndarray, tokens: np.ndarray, domains: np.ndarray, folds: np.ndarray, spec: MixSpec) -> FoldedModel | None:
+def train_folds(rows: list[np.ndarray], names: np.ndarray, shape: np.ndarray, tokens: np.ndarray, domains: np.ndarray, folds: np.ndarray, spec: MixSpec) -> FoldedModel | None:
     """None where some fold leaves fewer than two domains to learn from."""
     if any(len(set(domains[folds != f].tolist())) < 2 for f in range(spec.folds)):
         return None
-    models = []
+    models, z = [], np.zeros((len(rows), len(DOMAINS)))
     for f in range(spec.folds):
         other = np.flatnonzero(folds != f)
-        models.append(train([words[i] for i in other], shape[other], domains[other], spec))
-    z = np.stack([models[f].logits(w, s) for w, s, f in zip(words, shape, folds.tolist(), strict=True)])
+        model, place = train([rows[i] for i in other], names, shape[other], domains[other], spec)
+        models.append(model)
+        for i in np.flatnonzero(folds == f):
+            at = place[rows[i]]
+            z[i] = model.bias + ((shape[i] - model.mean) / model.scale) @ model.shape + model.words[at[at >= 0]].sum(0)
     absent = np.array([d not in domains for d in range(len(DOMAINS))])
     cool, bias = calibrate(z, domains, tokens + 1.0)
     return FoldedModel(models, cool, np.where(absent, -1e9, bias))
 
 
+def _model(sample: pa.Table, spec: MixSpec) -> FoldedModel | None:
+    words = sample["words"].combine_chunks()
+    coded = words.flatten().dictionary_encode()
+    rows = np.split(coded.indices.to_numpy(), words.offsets.to_numpy()[1:-1] - words.offsets.to_numpy()[0])
+    shape = sample["shape"].combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
+    return train_folds(rows, np.array(coded.dictionary.to_pylist(), object), shape, *(sample[c].to_numpy() for c in ("tokens", "__domain", "__fold")), spec)
+
+
 def posteriors(docs: DataFrame, labels: DataFrame, spec: MixSpec, id_col: str, text_col: str) -> DataFrame:
     """__id, __hash (of the text), __tokens and p_<domain>, a row for each row of ``docs``."""
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1)
@@ -204,10 +219,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, spec: MixSpec, id_col: str, t
                                 "shape": [shapes(t, w) for t, w in zip(x["__text"], split, strict=True)], "tokens": [len(w) for w in split]})
 
     sample = source.join(F.broadcast(chosen), "__id").groupBy("__id", "__fold", "__domain").agg(F.min("__text").alias("__text"))
-    sample = sample.mapInPandas(features, f"__id {kind}, __fold int, __domain int, words array<string>, shape array<double>, tokens long").collect()  # at most max_labelled rows
-    sample.sort(key=lambda r: r["__id"])
-    column = lambda c, kind: np.array([r[c] for r in sample], kind)
-    model = train_folds([set(r["words"]) for r in sample], column("shape", float), *(column(c, np.int64) for c in ("tokens", "__domain", "__fold")), spec) if sample else None
+    sample = sample.mapInPandas(features, f"__id {kind}, __fold int, __domain int, words array<string>, shape array<double>, tokens long").toArrow()  # at most max_labelled rows
+    model = _model(sample.sort_by("__id").combine_chunks(), spec) if sample.num_rows else None
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
