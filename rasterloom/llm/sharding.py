@@ -9,7 +9,8 @@ schedule and the lookup tables that are broadcast have that bound too. The shard
 end within about one small unit of each other, unless one group outweighs a whole shard.
 
 Slots number a shard's rows without gaps: rows are dealt into buckets by the hash of the
-id, numbered inside each bucket, and shifted by the sizes of the buckets before.
+id and a row number that is written with the row, so that rows that share an id (or have
+none) are spread like others, numbered inside each bucket, and shifted by the sizes of the buckets before.
 
 Defined cases: a null text counts as empty (size ``row_overhead``) and forms a group with
 the empty ones; a null id and repeated rows get slots like any other (ties among equal
@@ -49,10 +50,10 @@ def lpt(units: list[tuple[int, str]], n_shards: int) -> dict[str, int]:
 
 
 def sized(docs: DataFrame, spec: Sharding, id_col: str, text_col: str) -> DataFrame:
-    """Thin rows: __id, __size, __crc and the group's 64-bit key. Different texts of one key only stay together."""
+    """Thin rows: __id, __size, __crc, the group's 64-bit key and __row. Different texts of one key only stay together."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("__id"), (F.octet_length(text) + spec.row_overhead).cast("long").alias("__size"),
-                       F.crc32(text.cast("binary")).alias("__crc"), F.xxhash64(text).alias("__group"))
+                       F.crc32(text.cast("binary")).alias("__crc"), F.xxhash64(text).alias("__group"), F.monotonically_increasing_id().alias("__row"))
 
 
 def assign(rows: DataFrame, spec: Sharding = Sharding()) -> DataFrame:
@@ -77,13 +78,13 @@ def assign(rows: DataFrame, spec: Sharding = Sharding()) -> DataFrame:
 
 
 def slots(rows: DataFrame, spec: Sharding = Sharding()) -> DataFrame:
-    """``rows`` (with __id and __shard) and __slot, gapless from 0 in each shard."""
+    """``rows`` (written, with __id, __row and __shard) and __slot, gapless from 0 in each shard."""
     buckets = max(8, -(-rows.count() // (spec.n_shards * spec.rows_per_bucket)))
-    dealt = rows.withColumn("__bucket", F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(buckets)).cast("int"))
+    dealt = rows.withColumn("__bucket", F.pmod(F.xxhash64("__id", "__row", F.lit(7)), F.lit(buckets)).cast("int"))
     counts = dealt.groupBy("__shard", "__bucket").count()
     before = Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__shard", "__bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("__shard", "__bucket").orderBy("__id")
+    inside = Window.partitionBy("__shard", "__bucket").orderBy("__id", "__row")
     numbered = dealt.withColumn("__in", F.row_number().over(inside) - 1)
     return numbered.join(offsets, ["__shard", "__bucket"]).withColumn("__slot", F.col("__before") + F.col("__in")).drop("__bucket", "__in", "__before")
 

@@ -63,6 +63,15 @@ def test_lpt_and_slots(spark, sf):
     assert max(sizes.values()) <= sum(sizes.values()) / 40 + max(r.size for r in rows)
 
 
+def test_shards_of_rows_without_ids_of_their_own(spark):
+    rows = [(None if i % 3 else 7, "same text" if i % 4 else f"text {i}") for i in range(3000)]
+    spec = sharding.Sharding(n_shards=5, rows_per_bucket=20)
+    slots = defaultdict(list)
+    for r in sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), spec).collect():
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == 3000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_secrets_by_brute_force(spark, sf):
     planted = [(-1, "passwd: short token=secret: abcdefgh AKIAAKIA1234567890 KEY"), (-2, "x" * 70_000 + "\nAPI_KEY='0123456789abcdef'"), (-3, "é🎉 deadbeef" * 9),
                (-4, "ghp_" + "a" * 36 + " xoxb-0123456789ab -----BEGIN RSA PRIVATE KEY-----"), (-5, "0123456789abcdef" * 3)]
@@ -115,15 +124,22 @@ def test_gray_index_finds_every_link(spark):
     assert [found[s] for s in signed] == brute_classes(codes, 2)
 
 
-def test_fingerprints(spark, sf):
-    for r in queries.op4_simhash(spark, sf).collect():
-        pass
+def plain_fingerprint(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in s]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_query_by_brute_force(spark, sf):
     for text in ("", "One TWO", "a b c d e f g", "Ünï ÄB x\ty\nz " * 30):
-        low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-        w = re.findall(r"[^\x20\x09-\x0D]+", low)
-        s = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
-        h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in s]
-        assert simhash.fingerprint(text) == sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+        assert simhash.fingerprint(text) == plain_fingerprint(text)
+    docs = sorted((r["doc_id"], r["text"]) for r in rows_of(sf, "documents"))
+    codes = [plain_fingerprint(t) for _, t in docs]
+    least = brute_classes(codes, 2)
+    want = {d: (f"{c:016x}", docs[least[i]][0]) for i, ((d, _), c) in enumerate(zip(docs, codes, strict=True))}
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op4_simhash(spark, sf).collect()} == want
 
 
 def test_components(spark):
@@ -163,7 +179,7 @@ def test_near_copies(spark):
     sets = [{tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for _, t in rows]
     pairs = {(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for spec in (near_copies.NearCopySpec(), near_copies.NearCopySpec(group_rows=20, values_per_task=3), near_copies.NearCopySpec(part_bits=10)):
+    for spec in (near_copies.NearCopySpec(), near_copies.NearCopySpec(group_rows=20, values_per_task=3, tree_rows=4), near_copies.NearCopySpec(part_bits=10)):
         kept = {r.doc_id for r in near_copies.deduplicate(docs, spec).collect()}
         assert kept <= set(range(n + 40)) and len(kept ^ set(least_of_classes(n + 40, pairs))) <= 1  # an index miss of 1 in 100
 
@@ -189,22 +205,49 @@ def test_near_copies_at_the_bound(spark):
     assert [r.text for r in kept if r.doc_id == n] == ["a text that no other row of this table has at all"]
 
 
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person
+obtaining a copy of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction"""
+GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version {} of the License, or
+# (at your option) any later version."""
+
+
 def test_license_scan(spark, sf):
-    rows = [(1, "intro\nLicensed under CC BY-NC 4.0."), (2, "A license plate was seen.\nAll rights reserved."), (3, "foo Released under the MIT License. bar baz"),
-            (4, "This work is licensed under the GNU General Public License, version 3."), (5, "Licensed under the Apache License, Version 2.0. " + "filler " * 5000)]
-    found = {(r.doc_id, r.paragraph): r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert {k: r.family for k, r in found.items() if r.confirmed} == {(1, 1): "cc-by-nc-4.0", (3, 0): "mit", (4, 0): "gpl-3.0", (5, 0): "apache-2.0"}
-    lines = {(r["doc_id"], k) for r in rows_of(sf, "documents") for k, x in enumerate(r["text"].split("\n")) if re.search("Licensed under|Released under|This work is licensed", x)}
-    assert {(r.doc_id, r.paragraph) for r in queries.op5_license_scan(spark, sf).where("confirmed").collect()} == lines
+    prose = " ".join(f"word{i}" for i in range(700))
+    rows = [(1, "intro\n\nLicensed under CC BY-NC 4.0."), (2, "A license plate was seen.\nAll rights reserved."), (3, "foo Released under the MIT License. bar baz"),
+            (4, "This work is licensed under the GNU General Public License, version 3."), (5, "Licensed under the Apache License, Version 2.0. " + "filler " * 5000),
+            (6, "GNU Affero General Public License, version 3"), (7, "This software is not licensed under the MIT License."), (8, "x\n\n" + MIT_TEXT), (9, GPL_HEADER.format(3)), (10, GPL_HEADER.format(2)),
+            (11, "Licensed under the Apache License,\nVersion 2.0"), (12, prose + " Released under the MIT License. " + prose + " Licensed under the Apache License, Version 2.0. " + prose),
+            (13, "Released under the MIT License and licensed under the Apache License, Version 2.0."), (14, "Released under the BSD 2-Clause License."), (15, "Licensed under the Apache License, Version 1.1."),
+            (16, "Licensed under the GNU Lesser General Public License, version 2.1.")]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed").collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [
+        (1, 1, "cc-by-nc-4.0"), (3, 0, "mit"), (4, 0, "gpl-3.0"), (5, 0, "apache-2.0"), (6, 0, "agpl-3.0"), (8, 1, "mit"), (9, 0, "gpl-3.0"), (10, 0, "gpl-2.0"), (11, 0, "apache-2.0"),
+        (12, 0, "apache-2.0"), (12, 0, "mit"), (13, 0, "apache-2.0"), (13, 0, "mit"), (14, 0, "bsd-2-clause"), (16, 0, "lgpl-2.1")]
+
+
+def test_licenses_of_the_table(spark, sf):
+    """The confirmed paragraphs are those that hold a notice, found by plain search of the unwrapped text."""
+    notice = re.compile(r"(Licensed|Released) under (the )?(Apache License, Version 2\.0|MIT License|BSD 3-Clause|CC BY)|licensed under the GNU General Public License, version [23]|licensed under the MIT")
+    held = {(r["doc_id"], k) for r in rows_of(sf, "documents") for k, x in enumerate(re.split(r"\n[ \t\x0b\f\r]*\n\s*", r["text"])) if notice.search(" ".join(x.split()))}
+    assert {(r.doc_id, r.paragraph) for r in queries.op5_license_scan(spark, sf).where("confirmed").collect()} == held and held
 
 
 def test_license_scores_match_the_model(spark):
-    model = license_scan.train()
-    text = "This project is licensed under the MIT License and the general public"
-    p = model.bias + sum(model.weights[model.grams.index(g)] for g in license_scan.ngrams(license_scan.tokens(text)) if g in model.grams)
-    p = np.exp(p - p.max()) / np.exp(p - p.max()).sum()
-    got = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
-    assert got.family == model.families[int(p.argmax())] and abs(got.probability - p.max()) < 1e-9
+    """Probability and cover of every row, by the model itself over windows of words."""
+    model, spec = license_scan.train(), license_scan.LicenseSpec()
+    text = "This project is licensed under the MIT License and the general public " + "some words of the license " * 60 + "Licensed under CC BY 4.0 by the author"
+    w = license_scan.tokens(text)
+    got = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert {r.family for r in got} >= {"mit", "cc-by-4.0"}
+    for r in got:
+        held = license_scan.ngrams(w[r.first_word : r.first_word + 2 * spec.stride + 1])
+        z = model.bias + sum(model.weights[model.grams.index(g)] for g in held if g in model.grams)
+        j = model.families.index(r.family)
+        assert abs(r.probability - 1 / (1 + np.exp(z[-1] - z[j]))) < 1e-9
+        assert abs(r.cover - max(len(g & held) / len(g) for f, g in model.templates if f == r.family)) < 1e-9
 
 
 TOKENS = st.sampled_from([*chat_format.TOKENS, "[INST] ", " [/INST]", "~", "~0", "~1", "\\", "ok", "é", "\n", " ", "", "<", "[", "</s"])
@@ -357,6 +400,37 @@ def test_gru_gradients():
         assert abs((up - down) / 2e-2 - g[at]) < 2e-3 + 0.02 * abs(g[at])
 
 
+def plain_probabilities(tagger, raw):
+    """Mean over all bytes, byte by byte, with the textbook's equations."""
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    k, size, total = tagger.spec.hidden, tagger.spec.segment, np.zeros(len(tagger.langs))
+    for at in range(0, len(raw), size):
+        piece = raw[at : at + size].ljust(size)
+        states = []
+        for gru, order in ((tagger.ahead, range(size)), (tagger.behind, reversed(range(size)))):
+            h, out = np.zeros(k), np.zeros((size, k))
+            for t in order:
+                gates = sigmoid(gru.e_zr[piece[t]] + h @ gru.u_zr)
+                h = gates[:k] * h + (1 - gates[:k]) * np.tanh(gru.e_n[piece[t]] + gates[k:] * (h @ gru.u_n))
+                out[t] = h
+            states.append(out)
+        for t in range(min(size, len(raw) - at)):
+            total += mixing.softmax((np.concatenate([states[0][t], states[1][t]]) @ tagger.w + tagger.b)[None])[0]
+    return total / len(raw)
+
+
+def test_predictions_by_plain_recurrence(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    known = docs.where(~language_id.held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).selectExpr("doc_id AS __id", "text AS __text", "lang AS __lang")
+    spec = language_id.LanguageSpec(steps=40)
+    tagger = language_id.train(known, spec)
+    text = {r["doc_id"]: r["text"] for r in rows_of(sf, "documents")}
+    for r in language_id.identify(docs, spec).where("doc_id % 25 = 0").collect():
+        if any(map(str.isalpha, text[r.doc_id])):
+            p = plain_probabilities(tagger, text[r.doc_id].encode())
+            assert r.lang_pred == tagger.langs[p.argmax()] and abs(r.score - p.max()) < 1e-4
+
+
 def test_languages_held_out(spark, sf):
     lang = {r["doc_id"]: r["lang"] for r in rows_of(sf, "documents")}
     rows = queries.op10_language_id(spark, sf).collect()
