@@ -29,13 +29,20 @@ def centroid(ring: Column) -> Column:
 
 
 def contains(ring: Column, x: Column, y: Column) -> Column:
-    """Crossing number: odd means inside."""
-    def crosses(e: Column) -> Column:
+    """Crossing number: odd means inside.
+
+    The point goes into the lambda as an argument: Spark may push a filter whose lambda captures a
+    column of one side of a join below the other side.
+    """
+    def crosses(e: Column, at: Column) -> Column:
         p, q = e["p"], e["q"]
-        spans = (p["y"] > y) != (q["y"] > y)
-        at = p["x"] + (y - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"])
-        return F.when(spans & (x < at), 1).otherwise(0)
-    return F.aggregate(_edges(ring), F.lit(0), lambda a, e: a + crosses(e)) % 2 == 1
+        spans = (p["y"] > at["y"]) != (q["y"] > at["y"])
+        cut = p["x"] + (at["y"] - p["y"]) / F.nullif(q["y"] - p["y"], F.lit(0.0)) * (q["x"] - p["x"])
+        return F.when(spans & (at["x"] < cut), 1).otherwise(0)
+
+    point = F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    hits = F.zip_with(_edges(ring), F.array_repeat(point, F.size(ring)), crosses)
+    return F.aggregate(hits, F.lit(0), lambda a, h: a + h) % 2 == 1
 
 
 def envelope(ring: Column) -> Column:
@@ -78,5 +85,55 @@ def is_valid_ring(rings: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+def covers_ring(outer: np.ndarray, inner: np.ndarray) -> bool:
+    """Whether a simple ring's area holds another's: no vertex of one and no piece of an edge lies outside."""
+    a, b = outer, np.roll(outer, -1, axis=0)
+    ends = np.roll(inner, -1, axis=0)
+    d, e = ends - inner, b - a
+    # Edges of the inner ring are cut where they meet the outer one; no piece's middle may be outside.
+    cross = d[:, None, 0] * e[None, :, 1] - d[:, None, 1] * e[None, :, 0]
+    gap = a[None] - inner[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = (gap[..., 0] * e[None, :, 1] - gap[..., 1] * e[None, :, 0]) / cross
+        u = (gap[..., 0] * d[:, None, 1] - gap[..., 1] * d[:, None, 0]) / cross
+    length = (d * d).sum(1)
+    along = [(((p[None] - inner[:, None]) * d[:, None]).sum(-1) / np.maximum(length[:, None], 1e-300)) for p in (a,)][0]
+    points = [inner]
+    for k in range(len(inner)):
+        cuts = [0.0, 1.0, *t[k][(t[k] > 0) & (t[k] < 1) & (u[k] >= 0) & (u[k] <= 1)], *along[k][(along[k] > 0) & (along[k] < 1)]]
+        cuts = np.unique(cuts)
+        points.append(inner[k] + ((cuts[1:] + cuts[:-1]) / 2)[:, None] * d[k])
+    return bool(_within(outer, np.concatenate(points)).all())
+
+
+def _within(ring: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Inside or on the ring."""
+    a, b = ring[None], np.roll(ring, -1, axis=0)[None]
+    x, y = points[:, None, 0], points[:, None, 1]
+    side = (b[..., 0] - a[..., 0]) * (y - a[..., 1]) - (b[..., 1] - a[..., 1]) * (x - a[..., 0])
+    scale = np.maximum(np.abs(b - a).max(-1), 1e-300)
+    near = (np.abs(side) <= 1e-9 * scale * np.maximum(1, scale)) & (x >= np.minimum(a[..., 0], b[..., 0]) - 1e-9) & (x <= np.maximum(a[..., 0], b[..., 0]) + 1e-9)
+    near &= (y >= np.minimum(a[..., 1], b[..., 1]) - 1e-9) & (y <= np.maximum(a[..., 1], b[..., 1]) + 1e-9)
+    spans = (a[..., 1] > y) != (b[..., 1] > y)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        at = a[..., 0] + (y - a[..., 1]) / (b[..., 1] - a[..., 1]) * (b[..., 0] - a[..., 0])
+    return near.any(1) | ((spans & (x < at)).sum(1) % 2 == 1)
+
+
+@F.pandas_udf(T.BooleanType())
+def ring_covers(outer: pd.Series, inner: pd.Series) -> pd.Series:
+    """Whether a valid ring covers another; null where one of them is null."""
+    points = lambda ring: np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2)
+    return pd.Series([None if a is None or b is None or not len(a) or not len(b) else covers_ring(points(a), points(b)) for a, b in zip(outer, inner, strict=True)], dtype=object)
+
+
+@F.pandas_udf(T.BooleanType())
+def same_area(one: pd.Series, other: pd.Series) -> pd.Series:
+    """Whether two valid rings bound the same area, wherever they begin and whichever way they run."""
+    points = lambda ring: np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2)
+    both = [(None, None) if a is None or b is None else (points(a), points(b)) for a, b in zip(one, other, strict=True)]
+    return pd.Series([None if a is None else covers_ring(a, b) and covers_ring(b, a) for a, b in both], dtype=object)
+
+
 def source_to_device(v: Column, origin: Column | float, scale: Column | float) -> Column:
     return (v - origin) * scale

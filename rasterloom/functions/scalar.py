@@ -35,16 +35,43 @@ def significant(v: Column, digits: int = 4) -> Column:
     return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * F.floor(F.abs(v) * power + 0.5) / power)
 
 
+_DECIMAL = r"^([+-]?)([0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE]([+-]?[0-9]+))?$"
+
+
+def _decimal(s: Column) -> dict[str, Column]:
+    """Parts of decimal text: digits without leading zeros, and the power of ten of the first one (null beyond 32 bits)."""
+    body, e = F.regexp_extract(s, _DECIMAL, 2), F.regexp_extract(s, _DECIMAL, 3)
+    whole, fraction = F.regexp_extract(body, r"^([0-9]*)", 1), F.regexp_extract(body, r"\.([0-9]*)$", 1)
+    digits = F.regexp_replace(F.concat(whole, fraction), "^0+", "")
+    power = F.when(e == "", F.lit(0)).otherwise(e.try_cast("int")) - F.length(fraction) + F.length(digits) - 1
+    return {"good": s.rlike(_DECIMAL) & power.isNotNull(), "negative": F.regexp_extract(s, _DECIMAL, 1) == "-", "digits": digits, "power": power}
+
+
 def fits_fifteen_digits(s: Column) -> Column:
-    """Decimal text that a spreadsheet holds exactly: at most 15 significant digits."""
-    digits = F.regexp_replace(F.regexp_replace(s, "[eE].*$", ""), "[^0-9]", "")
-    core = F.regexp_replace(F.regexp_replace(digits, "^0+", ""), "0+$", "")
-    return s.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$") & (F.length(core) <= 15)
+    """Decimal text that a spreadsheet holds exactly: at most 15 significant digits, a magnitude it knows, and no integer from 1E15 on."""
+    d = _decimal(s)
+    places = F.length(F.regexp_replace(d["digits"], "0+$", ""))
+    integer = d["power"] >= places - 1
+    return F.coalesce(d["good"] & (places <= 15) & ((places == 0) | (d["power"].between(-307, 307) & (~integer | (d["power"] < 15)))), F.lit(False))
+
+
+def four_digit_text(s: Column) -> Column:
+    """Decimal text with four significant digits, halves up in size; with an exponent from 1e5 on and below 1e-3; other text as it is."""
+    d = _decimal(s)
+    head = F.rpad(F.substring(d["digits"], 1, 4), 4, "0").cast("int") + (F.substring(d["digits"], 5, 1) >= "5").cast("int")
+    power = d["power"] + (head == 10_000).cast("int")
+    digits = F.regexp_replace(F.when(head == 10_000, "1").otherwise(head.cast("string")), "0+$", "")
+    n, first, rest = F.length(digits), F.substring(digits, 1, 1), F.substr(digits, F.lit(2))
+    pointed = lambda a, b: F.when(b == "", a).otherwise(F.concat(a, F.lit("."), b))
+    below = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    above = pointed(F.rpad(F.substr(digits, F.lit(1), power + 1), power + 1, F.lit("0")), F.when(n > power + 1, F.substr(digits, power + 2)).otherwise(""))
+    text = F.when((power < -3) | (power >= 5), F.concat(pointed(first, rest), F.lit("e"), power.cast("string"))).when(power < 0, below).otherwise(above)
+    return F.when(~F.coalesce(d["good"], F.lit(False)), s).when(d["digits"].rlike("^0*$"), "0").otherwise(F.concat(F.when(d["negative"], "-").otherwise(""), text))
 
 
 def escape_cell_codes(s: Column) -> Column:
-    """Text that looks like an _xHHHH_ code gets its underscore encoded."""
-    return F.regexp_replace(s, "_(?=x[0-9A-Fa-f]{4}_)", "_x005F_")
+    """Text that looks like an _xHHHH_ code gets its underscore encoded; codes don't overlap."""
+    return F.regexp_replace(s, "_([xX][0-9a-fA-F]{4}_)", "_x005F_$1")
 
 
 def wrapped(s: Column, width: int = 60) -> Column:
@@ -55,7 +82,15 @@ def wrapped(s: Column, width: int = 60) -> Column:
 
 
 def safe_file_name(s: Column) -> Column:
-    return F.regexp_replace(s, "[^A-Za-z0-9._-]+", "_")
+    """Other characters as single hyphens, none at the ends; "channel" where nothing is left."""
+    safe = F.regexp_replace(F.regexp_replace(s, "[^A-Za-z0-9._-]+", "-"), "^-+|-+$", "")
+    return F.when(F.btrim(safe) == "", "channel").otherwise(safe)
+
+
+def json_escape(s: Column) -> Column:
+    for mark, code in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):
+        s = F.replace(s, F.lit(mark), F.lit(code))
+    return s
 
 
 def index_ignoring_case(values: Column, target: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.pixel import additive_component
+from ..functions.pixel import additive_component, label_text
+from .marker import numbered
 
 #: The smallest figure, and bytes a pixel needs beside its channels.
 MIN_WIDTH, MIN_HEIGHT, PIXEL_BYTES = 128, 32, 40
@@ -64,3 +65,33 @@ def batch_plan(tasks: DataFrame, limit: int = 10_000) -> tuple[DataFrame, DataFr
     again = rows.groupBy("task").count().where("count > 1").select("task", F.lit("duplicate").alias("again"))
     rows = rows.join(again, "task", "left").withColumn("reason", F.coalesce("reason", "again")).drop("again")
     return rows.where("reason IS NULL").drop("reason"), rows.where("reason IS NOT NULL")
+
+
+def export_channels(pixels: DataFrame, channels: list[str], path: str) -> DataFrame:
+    """Write raw values (level, x, y, a column a channel) as files by level and channel, and return their statistics.
+
+    (level, channel, n, min, max, mean, sha256): the hash is over the values in reading order of tiles' hashes of 256 rows of
+    pixels, so that no task orders a whole level.
+    """
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("channel"), F.col(c).cast("double").alias("value")) for c in channels])).alias("s")
+    rows = pixels.select("level", "x", "y", values).select("level", "s.channel", "x", "y", "s.value")
+    rows.write.mode("errorifexists").partitionBy("level", "channel").parquet(path)
+    back = pixels.sparkSession.read.parquet(path)
+    line = F.concat_ws(":", F.col("x").cast("string"), F.col("y").cast("string"), F.col("value").cast("string"))
+    strips = back.groupBy("level", "channel", F.floor(F.col("y") / 256).alias("strip"), F.floor(F.col("x") / 256).alias("column")).agg(
+        F.count("*").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"), F.sum("value").alias("sum"), F.sha2(F.array_join(F.sort_array(F.collect_list(line)), ","), 256).alias("h"))
+    whole = strips.groupBy("level", "channel").agg(F.sum("n").alias("n"), F.min("min").alias("min"), F.max("max").alias("max"), (F.sum("sum") / F.sum("n")).alias("mean"),
+                                                   F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("strip", "column", "h"))), lambda s: s["h"]), ""), 256).alias("sha256"))
+    return whole
+
+
+def publish_composites(pixels: DataFrame, scaled: list[Column], colours: list[tuple[int, int, int]], names: list[str], path: str) -> DataFrame:
+    """Write every combination's composite pixels (x, y, red, green, blue) by its sequence number, from one read of the source, and return the figures' list."""
+    top = (1 << len(scaled)) - 1
+    rows = pixels.select("x", "y", *[c.alias(f"s{j}") for j, c in enumerate(scaled)]).withColumn("mask", F.explode(F.sequence(F.lit(1), F.lit(top))))
+    chosen = [F.when(F.col("mask").bitwiseAND(F.lit(1 << j)) != 0, F.col(f"s{j}")).otherwise(F.lit(0.0)) for j in range(len(scaled))]
+    parts = [additive_component(chosen, [c[k] for c in colours]).alias(n) for k, n in enumerate(("red", "green", "blue"))]
+    places = numbered(pixels.sparkSession.range(1, top + 1).select(F.col("id").cast("int").alias("mask")))
+    rows.select("mask", "x", "y", *parts).join(F.broadcast(places), "mask").write.mode("errorifexists").partitionBy("sequence").parquet(path)
+    back = pixels.sparkSession.read.parquet(path)
+    return back.groupBy("sequence", "mask").agg(F.count("*").alias("pixels")).select("sequence", "mask", label_text(F.col("mask"), names).alias("combination"), "pixels")

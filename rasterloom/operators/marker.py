@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.pixel import label_text
 
@@ -83,5 +84,10 @@ def sampled_area_mm2(pixels: int, downsample: float, width_um: float, height_um:
 
 
 def enumeration_order(masks: DataFrame) -> DataFrame:
-    """Most markers first, then by mask, with a running number from 1."""
+    """Most markers first, then by mask."""
     return masks.orderBy(F.bit_count("mask").desc(), "mask")
+
+
+def numbered(masks: DataFrame) -> DataFrame:
+    """Adds sequence, the place in the enumeration order from 1; there are at most 255 masks."""
+    return masks.withColumn("sequence", F.row_number().over(Window.orderBy(F.bit_count("mask").desc(), "mask")))

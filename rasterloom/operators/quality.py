@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,13 +53,23 @@ def percentile_range(values: DataFrame, value: str, bin_width: float = 1.0, *by:
 
     One aggregation to bins, then a running sum over the bins of a group.
     """
-    bins = values.where(F.col(value).isNotNull()).groupBy(*by, F.floor(F.col(value) / bin_width).alias("bin")).agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    ran = bins.withColumn("upto", F.sum("n").over(whole.orderBy("bin"))).withColumn("all", F.sum("n").over(whole))
+    keys = list(by) or [F.lit(0).alias("one")]
+    bins = values.where(F.col(value).isNotNull()).groupBy(*keys, F.floor(F.col(value) / bin_width).alias("bin")).agg(F.count("*").alias("n"))
+    names = list(by) or ["one"]
+    # Blocks of bins are summed first, so that no task holds all bins of a group.
+    bins = bins.withColumn("block", F.floor(F.col("bin") / BLOCK_BINS))
+    blocks = bins.groupBy(*names, "block").agg(F.sum("n").alias("of_block"))
+    group = Window.partitionBy(*names)
+    blocks = blocks.withColumn("before", F.sum("of_block").over(group.orderBy("block")) - F.col("of_block")).withColumn("all", F.sum("of_block").over(group))
+    ran = bins.join(blocks.drop("of_block"), [*names, "block"]).withColumn("upto", F.col("before") + F.sum("n").over(Window.partitionBy(*names, "block").orderBy("bin")))
     edge = lambda p: F.min(F.when(F.col("upto") >= F.col("all") * p, F.col("bin"))) * bin_width
     return ran.groupBy(*by).agg(edge(PERCENTILES[0]).alias("low"), edge(PERCENTILES[1]).alias("high"))
 
 
+#: Bins that one task sums up in their order.
+BLOCK_BINS = 4096
+
+
 def calibration_mismatch(levels: DataFrame) -> DataFrame:
     """(level, mismatch, warn): the level whose physical ratio is farthest from its geometry; the first one wins ties.
 
@@ -80,7 +92,7 @@ def findings(rows: DataFrame, rules: list[tuple[str, str, Column]], *keep: str)
 
 
 def slide_rules() -> list[tuple[str, str, Column]]:
-    """Rules on one row of slide metadata."""
+    """Rules on one row of slide metadata; severities and codes are fixed values here and below."""
     c = F.col
     uneven = (c("divisions") <= 0) | (c("grid_x") % F.nullif(c("divisions"), F.lit(0)) != 0) | (c("grid_y") % F.nullif(c("divisions"), F.lit(0)) != 0)
     return [
@@ -109,6 +121,28 @@ def channel_rules(filters: int) -> list[tuple[str, str, Column]]:
     ]
 
 
+def compatibility(slides: DataFrame, levels: DataFrame, channels: DataFrame, files: DataFrame, filters: int) -> DataFrame:
+    """(slide, severity, code) of all rules, a row for each slide, level, channel or file that breaks one.
+
+    levels: slide, level, format, concat, um_x, um_y, tile_w, tile_h, downsample; channels: slide, channel, name,
+    filter_level_index, stored_component; files: slide, name, found. The order of the levels decides ties.
+    """
+    again = lambda key: F.row_number().over(Window.partitionBy("slide", *key).orderBy("channel")) > 1
+    told = channels.withColumn("name_again", again(["name"])).withColumn("storage_again", again(["filter_level_index", "stored_component"]))
+    base = levels.groupBy("slide").agg(F.min_by(F.struct("um_x", "um_y"), "level").alias("b"))
+    c = F.col
+    far = F.greatest(relative_difference(c("downsample"), c("um_x") / c("b.um_x")), relative_difference(c("downsample"), c("um_y") / c("b.um_y")))
+    uneven = levels.join(base, "slide").groupBy("slide").agg(F.max(far).alias("far"))
+    missing = files.where(~c("found")).select("slide", F.lit("ERROR").alias("severity"), F.lit("MISSING_DATA_FILE").alias("code"))
+    mismatch = uneven.where(c("far") > MAX_MISMATCH).select("slide", F.lit("WARNING").alias("severity"), F.lit("PYRAMID_PIXEL_SIZE_MISMATCH").alias("code"))
+    parts = [findings(slides, slide_rules(), "slide"), findings(levels, level_rules(), "slide"), findings(told, channel_rules(filters), "slide"), missing, mismatch]
+    return reduce(DataFrame.unionByName, parts)
+
+
+#: Fixed value: the largest relative difference of physical and geometric downsample that isn't told.
+MAX_MISMATCH = 0.001
+
+
 def support_score(findings_: DataFrame, slides: DataFrame, key: str) -> DataFrame:
     """(key, score): 4.0 for slides without an ERROR, else 0."""
     bad = findings_.where(F.col("severity") == "ERROR").select(key).distinct().withColumn("bad", F.lit(True))

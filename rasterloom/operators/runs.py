@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,40 @@ def publish(spark: SparkSession, path: str, tables: dict[str, DataFrame], manife
     fs.delete(marker, False)
 
 
+@contextmanager
+def publishing(spark: SparkSession, path: str):
+    """Gives a function that writes a table of lines by name; the marker goes when all are there, and stays after a failure."""
+    fs, root = _fs(spark, path)
+    if fs.exists(root):
+        raise FileExistsError(path)
+    marker = _fs(spark, f"{path}/INCOMPLETE")[1]
+    fs.create(marker).close()
+    yield lambda name, lines: lines.write.mode("errorifexists").text(f"{path}/{name}")
+    fs.delete(marker, False)
+
+
 def is_published(spark: SparkSession, path: str) -> bool:
     fs, root = _fs(spark, path)
     return fs.exists(root) and not fs.exists(_fs(spark, f"{path}/INCOMPLETE")[1]) and fs.exists(_fs(spark, f"{path}/manifest/_SUCCESS")[1])
 
 
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file, a journal for one, as a whole: written beside it, made durable, then renamed over it."""
+    import uuid
+
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = at.getFileSystem(conf).create(beside)
+    out.write(bytearray(text.encode("utf-8")))
+    out.hsync()
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), conf)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(context.makeQualified(beside), context.makeQualified(at), options)
+
+
 def receipt(files: DataFrame, path: Column, content: Column) -> DataFrame:
     """(path, sha256) of each file."""
     return files.select(path.alias("path"), F.sha2(content, 256).alias("sha256"))
@@ -54,6 +84,7 @@ def violations(rows: DataFrame, key: Column, rules: list[tuple[str, Column]]) ->
 def combination_rules(names: list[str]) -> list[tuple[str, Column]]:
     """What each row of a long table has to meet."""
     c, top = F.col, (1 << len(names)) - 1
+    # The names of modes, metrics and denominators.
     known = F.array(*[F.lit(x) for x in ("all_sampled_roi_pixels", "all_eligible_cells", "all_measured_nuclei", *[f"positive:{n}" for n in names])])
     ratio_fits = F.abs(c("ratio") - F.try_divide(c("numerator"), c("denominator"))) <= 1e-10
     return [

@@ -33,7 +33,8 @@ def segment_tiles(pixels: DataFrame, tile: int, halo: int, segmenter: Callable[[
 
     Each pixel goes to its tile and to the tiles whose halo it lies in. An object is reported
     by the tile that owns its first pixel in reading order, so objects that reach no farther
-    than the halo beyond that tile are whole.
+    than the halo beyond that tile are whole. One that reaches the halo's edge may go on
+    beyond it: that is an error, which a wider halo mends, and never a cut object.
     """
     span = lambda c: F.sequence(F.floor((F.col(c) - halo) / tile), F.floor((F.col(c) + halo) / tile))
     dealt = pixels.select("x", "y").distinct().withColumn("tx", F.explode(span("x"))).withColumn("ty", F.explode(span("y")))
@@ -48,7 +49,10 @@ def segment_tiles(pixels: DataFrame, tile: int, halo: int, segmenter: Callable[[
         labels = segmenter(image)
         found, first, count = np.unique(labels, return_index=True, return_counts=True)
         oy, ox = np.divmod(first, side)
+        edge = np.unique(np.concatenate([labels[0], labels[-1], labels[:, 0], labels[:, -1]]))
         own = (found > 0) & (ox >= halo) & (ox < halo + tile) & (oy >= halo) & (oy < halo + tile)
+        if np.isin(found[own], edge).any():
+            raise ValueError(f"an object of tile {tx}, {ty} reaches the edge of its halo of {halo} pixels")
         return pd.DataFrame({"tile_x": tx, "tile_y": ty, "object_x": ox[own] + left, "object_y": oy[own] + top, "pixels": count[own]})
 
     return dealt.groupBy("tx", "ty").applyInPandas(run, OBJECTS)

@@ -54,10 +54,10 @@ def channel_storage_lookup(spark, sf_dir):
     return table(spark, sf_dir, "nation").join(images, "n_regionkey", "left").select(F.col("n_nationkey").alias("channel"), F.col("n_name").alias("name"), F.coalesce("images", F.lit(0)).alias("images"))
 
 
-_R = "SELECT p_partkey AS id, (p_partkey * 37) % 1024 AS x, (p_partkey * 91) % 1024 AS y, CAST(p_size * {0} AS BIGINT) AS w, CAST(p_size * {0} AS BIGINT) AS h FROM part WHERE p_size {1}"
+_R = "SELECT p_partkey AS id, (p_partkey * 37) % 1024 AS x, (p_partkey * 91) % 1024 AS y, CAST(p_size * {0} AS BIGINT) AS w, CAST(p_size * {0} AS BIGINT) AS h FROM part"
 
 
-@query(f"""SELECT a.id AS cell, b.id AS nucleus FROM ({_R.format(3, '>= 45')}) a, ({_R.format(1, 'BETWEEN 5 AND 12')}) b
+@query(f"""SELECT a.id AS cell, b.id AS nucleus FROM ({_R.format(2)}) a, ({_R.format(1)}) b
 WHERE b.x >= a.x AND b.y >= a.y AND b.x + b.w <= a.x + a.w AND b.y + b.h <= a.y + a.h AND a.w * a.h > b.w * b.h""")
 def containment_pairs(spark, sf_dir):
     """Of two annotations, the larger one that covers the other is the cell."""
@@ -65,7 +65,7 @@ def containment_pairs(spark, sf_dir):
     def rects(rows, scale, p):
         k, side = c("p_partkey"), c("p_size").cast("long") * scale
         return rows.select(k.alias(f"{p}_id"), (k * 37 % 1024).alias(f"{p}x"), (k * 91 % 1024).alias(f"{p}y"), side.alias(f"{p}w"), side.alias(f"{p}h"))
-    both = spatial.overlap_join(rects(part.where(c("p_size") >= 45), 3, "l"), rects(part.where(c("p_size").between(5, 12)), 1, "r"), 128)
+    both = spatial.overlap_join(rects(part, 2, "l"), rects(part, 1, "r"), 128)
     inside = spatial.covers(c("lx"), c("ly"), c("lw"), c("lh"), c("rx"), c("ry"), c("rw"), c("rh"))
     return both.where(inside & (c("lw") * c("lh") > c("rw") * c("rh"))).select(c("l_id").alias("cell"), c("r_id").alias("nucleus"))
 

@@ -176,3 +176,9 @@ def summary_wide_pivot(spark, sf_dir):
     long = runs.union_runs({k: marker.combinations(marker.histogram(p, mask()), len(NAMES)) for k, p in parts.items()})
     wide = long.groupBy("mask").pivot("run_id", list(parts)).agg(F.first("inclusive").alias("inclusive"), F.first("exact").alias("exact"))
     return wide.select("mask", "pa_inclusive", "pa_exact", "npn_inclusive", "npn_exact")
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY bit_count(m) DESC, m) AS INTEGER) AS sequence, CAST(m AS INTEGER) AS mask FROM (SELECT unnest(range(1, 16)) AS m)")
+def numbered_masks(spark, sf_dir):
+    hist = marker.histogram(sampled(spark, sf_dir), mask())
+    return marker.numbered(marker.combinations(hist, len(NAMES))).select("sequence", "mask")

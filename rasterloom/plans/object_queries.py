@@ -160,11 +160,11 @@ def review_tree_owner(spark, sf_dir):
     return review.owners(edges)
 
 
-@query("""WITH r AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'P')
+@query("""WITH r AS (SELECT o_custkey, o_orderkey FROM orders)
 SELECT o_custkey, o_orderkey, coalesce(lag(o_orderkey) OVER w, last_value(o_orderkey) OVER f) AS previous, coalesce(lead(o_orderkey) OVER w, first_value(o_orderkey) OVER f) AS next FROM r
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey), f AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
 def circular_navigation(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P").select("o_custkey", "o_orderkey")
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     return review.circular_neighbours(rows, "o_custkey", "o_orderkey")
 
 

@@ -163,3 +163,47 @@ def duplicate_key_check(spark, sf_dir):
     return runs.duplicate_keys(rows, "orderkey", "linenumber")
 
 
+
+
+_LEVELS = """l AS (SELECT s_suppkey AS slide, k AS level, CASE WHEN (s_suppkey + k) % 9 = 0 THEN 'PNG' ELSE 'jpeg' END AS format, CASE WHEN s_suppkey % 8 = k THEN 21 ELSE k END AS concat,
+  CASE WHEN s_suppkey % 12 = 5 AND k = 2 THEN 0 ELSE 0.25 * pow(2, k) * CASE WHEN s_suppkey % 7 = 4 AND k = 1 THEN 1.01 ELSE 1 END END AS um_x, 0.25 * pow(2, k) AS um_y,
+  CASE WHEN s_suppkey % 10 = k THEN 0 ELSE 32 END AS tile_w, 32 AS tile_h, pow(2.0::DOUBLE, k) AS downsample FROM supplier, (SELECT unnest([0, 1, 2]) AS k)),
+h AS (SELECT s_suppkey AS slide, k AS channel, CASE WHEN s_suppkey % 4 = 1 THEN 'A' ELSE 'C' || k END AS name, CASE WHEN s_suppkey % 6 = k THEN 9 ELSE k % 2 END AS filter_level_index, (s_suppkey + k) % 5 AS stored_component FROM supplier, (SELECT unnest([0, 1, 2]) AS k)),
+f AS (SELECT s_suppkey AS slide, s_suppkey % 16 <> 7 OR k <> 1 AS found FROM supplier, (SELECT unnest([0, 1]) AS k))"""
+_MORE = [("ERROR", "UNSUPPORTED_COMPRESSION", "FROM l WHERE upper(format) <> 'JPEG'"), ("ERROR", "INVALID_CONCAT_FACTOR", "FROM l WHERE concat > 20"), ("ERROR", "INVALID_PIXEL_SIZE", "FROM l WHERE um_x = 0"),
+         ("ERROR", "INVALID_TILE_SIZE", "FROM l WHERE tile_w = 0"), ("ERROR", "INVALID_FILTER_LEVEL", "FROM h WHERE filter_level_index > 1"), ("ERROR", "UNSUPPORTED_PACKED_COMPONENT", "FROM h WHERE stored_component > 2"),
+         ("WARNING", "DUPLICATE_CHANNEL_NAME", "FROM h a WHERE EXISTS (SELECT 1 FROM h b WHERE b.slide = a.slide AND b.name = a.name AND b.channel < a.channel)"),
+         ("WARNING", "DUPLICATE_STORAGE_MAPPING", "FROM h a WHERE EXISTS (SELECT 1 FROM h b WHERE b.slide = a.slide AND b.filter_level_index = a.filter_level_index AND b.stored_component = a.stored_component AND b.channel < a.channel)"),
+         ("ERROR", "MISSING_DATA_FILE", "FROM f WHERE NOT found"), ("WARNING", "PYRAMID_PIXEL_SIZE_MISMATCH", "FROM supplier WHERE s_suppkey % 7 = 4 OR s_suppkey % 12 = 5")]
+
+
+@query(f"WITH {_SLIDES}, {_LEVELS} " + " UNION ALL ".join([*(f"SELECT slide, '{s}' AS severity, '{c}' AS code FROM s WHERE {w}" for s, c, w in _RULES),
+                                                           *(f"SELECT {'s_suppkey' if 'supplier' in w else 'slide'}, '{s}', '{c}' {w}" for s, c, w in _MORE)]))
+def compat_findings_all(spark, sf_dir):
+    """All 18 codes: rules on slides, levels, channels, data files and the pyramid."""
+    k, c = F.col("s_suppkey"), F.col
+    base = table(spark, sf_dir, "supplier").select("s_suppkey", k.alias("slide"))
+    per = lambda n, name: base.withColumn(name, F.explode(F.array(*[F.lit(i) for i in range(n)])))
+    two = F.pow(F.lit(2.0), c("level"))
+    um = F.when((k % 12 == 5) & (c("level") == 2), 0.0).otherwise(0.25 * two * F.when((k % 7 == 4) & (c("level") == 1), 1.01).otherwise(1.0))
+    levels = per(3, "level").select("slide", "level", F.when((k + c("level")) % 9 == 0, "PNG").otherwise("jpeg").alias("format"), F.when(k % 8 == c("level"), 21).otherwise(c("level")).alias("concat"), um.alias("um_x"),
+                                    (0.25 * two).alias("um_y"), F.when(k % 10 == c("level"), 0).otherwise(32).alias("tile_w"), F.lit(32).alias("tile_h"), two.alias("downsample"))
+    channels = per(3, "channel").select("slide", "channel", F.when(k % 4 == 1, "A").otherwise(F.concat(F.lit("C"), c("channel").cast("string"))).alias("name"),
+                                        F.when(k % 6 == c("channel"), 9).otherwise(c("channel") % 2).alias("filter_level_index"), ((k + c("channel")) % 5).alias("stored_component"))
+    files = per(2, "n").select("slide", ((k % 16 != 7) | (c("n") != 1)).alias("found"))
+    return quality.compatibility(slides(spark, sf_dir), levels, channels, files, 2)
+
+
+_TAILS = ["", "e3", "e-5", "E10"]
+_SHOWN = """SELECT p_partkey, d || t AS text, floor(log10(p_retailprice)) + e AS power, CASE WHEN p_retailprice < 1000 THEN round(CAST(d AS DECIMAL(18, 4)) * 10) ELSE round(CAST(d AS DECIMAL(18, 4))) END AS head
+FROM (SELECT p_partkey, p_retailprice, printf('%.2f', p_retailprice) AS d, ['', 'e3', 'e-5', 'E10'][p_partkey % 4 + 1] AS t, [0, 3, -5, 10][p_partkey % 4 + 1] AS e FROM part)"""
+_STRIP = "regexp_replace(regexp_replace({0}, '0+$', ''), '[.]$', '')"
+
+
+@query(f"""SELECT p_partkey, text, CASE WHEN power < -3 OR power >= 5 THEN {_STRIP.format("printf('%.3f', CAST(head AS DOUBLE) / 1000)")} || 'e' || CAST(power AS INTEGER) ELSE {_STRIP.format("printf('%.9f', CAST(head AS DOUBLE) * pow(10, power - 3))")} END AS shown,
+  true AS safe, '_x005F_x0041_ ' || chr(92) || chr(92) || 'n' || chr(92) || '"' AS escaped FROM ({_SHOWN})""")
+def office_number_text(spark, sf_dir):
+    """Numbers as a report shows them, and if a spreadsheet holds them."""
+    text = F.concat(F.format_string("%.2f", F.col("p_retailprice")), F.get(F.array(*[F.lit(t) for t in _TAILS]), (F.col("p_partkey") % 4).cast("int")))
+    mark = scalar.json_escape(scalar.escape_cell_codes(F.lit('_x0041_ \\n"')))
+    return table(spark, sf_dir, "part").select("p_partkey", text.alias("text"), scalar.four_digit_text(text).alias("shown"), scalar.fits_fifteen_digits(text).alias("safe"), mark.alias("escaped"))

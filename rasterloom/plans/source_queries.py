@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -92,8 +93,8 @@ def run_catalogue_skipped(spark, sf_dir):
 @query()
 def segmentation_udtf(spark, sf_dir):
     """Connected areas of positive pixels, by tiles with a halo; the tests hold it against one image."""
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 35)
-    return segment.segment_tiles(lines.select((F.col("l_partkey") % 512).alias("x"), (F.col("l_suppkey") % 256).alias("y")), 64, 32)
+    lines = table(spark, sf_dir, "lineitem")
+    return segment.segment_tiles(lines.select((F.col("l_orderkey") % 65_536).alias("x"), (F.col("l_partkey") % 65_536).alias("y")), 256, 32)
 
 
 @query("SELECT CAST(NULL AS INTEGER) AS mask, CAST(NULL AS BIGINT) AS masks_n, CAST(NULL AS BIGINT) AS stats_n WHERE false")
@@ -102,3 +103,46 @@ def mask_finish_check(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     code = pixel.label_code(mask(), pixel.inside(F.col("l_partkey"), F.col("l_suppkey"), whole_pixels(REGION)))
     return masks.finish_differences(lines.select(code.alias("code")), marker.histogram(sampled(spark, sf_dir), mask()))
+
+
+@query("SELECT CAST(2 AS INTEGER) AS levels, CAST(2 AS INTEGER) AS channels, ['Data0000.dat'] AS files, CAST(5 AS BIGINT) AS position_record, false AS compressed, 'Z' AS first_channel_storage")
+def slide_metadata(spark, sf_dir):
+    """All of a slide's metadata as one row."""
+    m = ini.metadata(ini_rows(spark))
+    return m.select(F.size("levels").alias("levels"), F.size("channels").alias("channels"), F.transform("data_files", lambda f: f["name"]).alias("files"), "position_record", "compressed",
+                    F.when(F.get("channels", F.lit(0))["filter_level_index"] == 0, "Z").alias("first_channel_storage"))
+
+
+@query("SELECT s_suppkey AS slide, CAST(u.k AS INTEGER) AS camera, CAST((s_suppkey * 10 + u.k) * 4 AS BIGINT) AS x, CAST((-s_nationkey - u.k) * 4 AS BIGINT) AS y FROM supplier, (SELECT unnest([0, 1, 2]) AS k) u")
+def stitch_position_rows(spark, sf_dir):
+    """Records of nine bytes, made from the table and read back; every other slide's are compressed."""
+    import pandas as pd
+
+    def pack(batches):
+        for b in batches:
+            raw = [b"".join(struct.pack("<Bii", k & 1, s * 10 + k, -n - k) for k in range(3)) for s, n in zip(b["s_suppkey"].tolist(), b["s_nationkey"].tolist(), strict=True)]
+            packed = (b["s_suppkey"] % 2 == 1).tolist()
+            yield pd.DataFrame({"file": b["s_suppkey"].astype(str), "payload": [zlib.compress(r) if p else r for r, p in zip(raw, packed, strict=True)], "compressed": packed, "concat": 2})
+
+    records = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey").mapInPandas(pack, "file string, payload binary, compressed boolean, concat int")
+    return slide_index.positions(records).select(F.col("file").cast("long").alias("slide"), "camera", "x", "y")
+
+
+
+@query("""WITH t AS (SELECT (l_partkey % 512) // 32 AS tx, (l_suppkey % 64) // 32 AS ty, min(code) AS low, max(code) AS high, count(*) FILTER (code > 0) AS roi_pixels,
+  sha256(string_agg(((l_suppkey % 64) % 32) || ':' || ((l_partkey % 512) % 32) || ':' || code, ',' ORDER BY (l_suppkey % 64) % 32, (l_partkey % 512) % 32, code)) AS h
+  FROM (SELECT l_partkey, l_suppkey, CASE WHEN l_quantity >= 40 THEN 2 ELSE 1 END AS code FROM lineitem) GROUP BY 1, 2)
+SELECT count(*) AS tiles, count(DISTINCT h) AS contents, CAST(sum(roi_pixels) AS BIGINT) AS roi_pixels FROM t""")
+def mask_tile_store(spark, sf_dir):
+    """Tiles of codes, each content once."""
+    lines = table(spark, sf_dir, "lineitem")
+    code = pixel.label_code(F.when(F.col("l_quantity") >= 40, 1).otherwise(0), F.lit(True))
+    tiles = masks.mask_tiles(lines.select((F.col("l_partkey") % 512).alias("px"), (F.col("l_suppkey") % 64).alias("py"), code.alias("code")), 32)
+    return tiles.agg(F.count("*").alias("tiles"), F.count_distinct("sha256").alias("contents"), F.sum("roi_pixels").alias("roi_pixels"))
+
+
+@query("""SELECT CAST(mask AS INTEGER) AS mask, label, shapes, round(hue, 9) AS hue FROM (SELECT p_size % 4 AS mask, count(*) AS shapes FROM part GROUP BY 1) JOIN (VALUES (0, '', NULL), (1, 'A', 0.61803398875), (2, 'B', 0.2360679775), (3, 'A+B', 0.85410196625)) AS t(m, label, hue) ON m = mask""")
+def classification_legend(spark, sf_dir):
+    """Distinct masks with their labels, colours and numbers of shapes."""
+    rows = masks.classification(table(spark, sf_dir, "part").select((F.col("p_size") % 4).alias("mask")), ["A", "B"])
+    return rows.withColumn("hue", F.round("hue", 9))

@@ -58,6 +58,7 @@ def _with_keys(values: DataFrame, ini: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def zoom_levels(ini: DataFrame) -> DataFrame:
+    # The names of the keys.
     keys = ["MICROMETER_PER_PIXEL_X", "MICROMETER_PER_PIXEL_Y", "DIGITIZER_WIDTH", "DIGITIZER_HEIGHT", "IMAGE_CONCAT_FACTOR", "OVERLAP_X", "OVERLAP_Y", "IMAGE_FORMAT"]
     rows = _with_keys(_dimension(ini, "Slide zoom level"), ini, keys)
     num = lambda k, t, d: F.coalesce(F.col(k).try_cast(t), d)
@@ -101,3 +102,12 @@ def position_record(ini: DataFrame) -> DataFrame:
     packed = F.min(F.when(F.col("name") == "stitchingintensitylayer", F.col("record")))
     out = rows.groupBy("file").agg(plain.alias("a"), packed.alias("b"))
     return out.select("file", F.coalesce("a", "b", F.lit(-1)).alias("record"), (F.col("a").isNull() & F.col("b").isNotNull()).alias("compressed"))
+
+
+def metadata(ini: DataFrame) -> DataFrame:
+    """One row for each file: its levels, channels, data files (arrays of structs, in order) and position record."""
+    listed = lambda df, name: df.groupBy("file").agg(F.sort_array(F.collect_list(F.struct(*[c for c in df.columns if c != "file"]))).alias(name))
+    out = ini.select("file").distinct()
+    for df, name in ((zoom_levels(ini), "levels"), (channels(ini), "channels"), (data_files(ini), "data_files")):
+        out = out.join(listed(df, name), "file", "left").withColumn(name, F.coalesce(name, F.array().cast(listed(df, name).schema[name].dataType)))
+    return out.join(position_record(ini).withColumnRenamed("record", "position_record"), "file", "left")

@@ -136,12 +136,38 @@ def scan_index_files(files: DataFrame, slide_id: str, counts: list[int], default
     return files.select("content").mapInPandas(run, SCHEMA)
 
 
+#: Bytes of a data file that one task reads at most, beside the entries that begin in them.
+RANGE = 64 << 20
+
+
 def payloads(index: DataFrame, files: DataFrame) -> DataFrame:
-    """index rows and their payload; files: (file_number, content). An entry that leaves its file is an error."""
-    joined = index.join(files, "file_number")
-    outside = F.col("offset") + F.col("length") > F.octet_length("content")
-    cut = F.expr("substring(content, cast(offset + 1 as int), cast(length as int))")
-    return joined.select(*index.columns, F.when(outside, F.raise_error(F.lit("an entry lies outside its data file")).cast("binary")).otherwise(cut).alias("payload"))
+    """index rows and their payload; files: (file_number, uri). An entry that leaves its file is an error.
+
+    Entries are grouped by file and by range of its bytes; a task opens a file once and reads the
+    entries' bytes alone, in their order, whatever the file's size.
+    """
+    schema = index.schema
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        uri, source = None, None
+        for b in batches:
+            out = []
+            for at, length, name in zip(b["offset"].tolist(), b["length"].tolist(), b["uri"], strict=True):
+                if name != uri:
+                    store, path = fs.FileSystem.from_uri(name)
+                    uri, source = name, store.open_input_file(path)
+                if at < 0 or length < 0 or at + length > source.size():
+                    raise ValueError(f"an entry of {length} bytes at {at} lies outside its data file {name}")
+                out.append(source.read_at(length, at))
+            yield b[[f.name for f in schema]].assign(payload=out)
+
+    spark = index.sparkSession
+    rows = index.join(F.broadcast(files.select("file_number", "uri")), "file_number")  # a slide has some dozen data files
+    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file_number", F.floor(F.col("offset") / RANGE)).sortWithinPartitions("uri", "offset")
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return dealt.select(*index.columns, "uri").mapInPandas(read, f"{kind}, payload binary")
 
 
 def stitch_positions(payload: bytes, compressed: bool, concat: int) -> list[tuple[int, int, int]]:
@@ -157,6 +183,18 @@ def stitch_positions(payload: bytes, compressed: bool, concat: int) -> list[tupl
     return out
 
 
+def positions(records: DataFrame) -> DataFrame:
+    """(file, camera, x, y), a row for each record of (file, payload, compressed, concat)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples(index=False):
+                rows = stitch_positions(bytes(r.payload), bool(r.compressed), int(r.concat))
+                yield pd.DataFrame([(r.file, *x) for x in rows], columns=["file", "camera", "x", "y"])
+
+    return records.select("file", "payload", "compressed", "concat").mapInPandas(run, "file string, camera int, x long, y long")
+
+
 def read_index(spark: SparkSession, path: str, slide_id: str, counts: list[int], defaults: list[int], zoom: int, filters: int) -> DataFrame:
     """Index files under a path, in any store that Spark reads."""
     return scan_index_files(spark.read.format("binaryFile").load(path), slide_id, counts, defaults, zoom, filters)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.runs import _fs
+
 MAX_CELL = 32_767
 SAMPLE = 64 * 1024
 TILE_SCHEMA = "file STRING, levelX INT, levelY INT, width INT, height INT, roiPixels BIGINT, sha256 STRING"
 GEO_SCHEMA = "type STRING, features ARRAY<STRUCT<id: STRING, properties: MAP<STRING,STRING>, geometry: STRUCT<type: STRING, coordinates: STRING>>>"
+#: The geometry types.
 GEOMETRIES = ("Point", "MultiPoint", "LineString", "MultiLineString", "Polygon", "MultiPolygon", "GeometryCollection")
-RUN_SCHEMA = "schemaVersion INT, status STRING, algorithm STRING, counts MAP<STRING,BIGINT>"
+RUN_SCHEMA = "schemaVersion INT, status STRING, algorithm STRING, imageName STRING, createdAt STRING, counts MAP<STRING,BIGINT>"
 
 
 def read_strict_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -65,6 +68,46 @@ def run_catalogue(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
     return m.where("reason IS NULL").drop("reason", "incomplete"), m.where("reason IS NOT NULL").select("path", "reason")
 
 
+#: The tables that a run must have, and the most entries of a folder of runs.
+RUN_FILES = ("combinations.csv", "cells.csv", "excluded-cells.csv")
+MAX_RUNS = 10_000
+
+
+def scan_catalogue(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, skipped with reason) of a run's folder, or of the folders right below ``path``.
+
+    Only names are listed on the driver, at most ``MAX_RUNS`` of them; manifests and profiles are read by Spark.
+    """
+    fs, root = _fs(spark, path)
+    is_run = lambda p: any(fs.exists(_fs(spark, f"{p}/{name}")[1]) for name in ("manifest.json", "INCOMPLETE"))
+    if is_run(path):
+        folders = [path]
+    else:
+        listed = fs.listStatus(root)
+        if len(listed) > MAX_RUNS:
+            raise ValueError(f"more than {MAX_RUNS} entries in {path}")
+        folders = sorted(f"{path.rstrip('/')}/{x.getPath().getName()}" for x in listed if x.isDirectory())
+    rows = []
+    for f in folders:
+        have = lambda name, f=f: fs.exists(_fs(spark, f"{f}/{name}")[1])
+        rows.append((f, have("INCOMPLETE"), have("manifest.json"), have("profile.json"), [n for n in RUN_FILES if not have(n)]))
+    listed = spark.createDataFrame(rows, "path string, incomplete boolean, manifest boolean, profile boolean, missing array<string>")
+
+    def texts(name: str, there: int) -> DataFrame:
+        files = [f"{r[0]}/{name}" for r in rows if r[there]]
+        own = F.regexp_replace(F.regexp_replace("_metadata.file_path", f"/{name}(/[^/]*)?$", ""), "^file:/*", "/")
+        return spark.read.text(files, wholetext=True).select(own.alias("own"), F.col("value").alias(name[:-5])) if files else spark.createDataFrame([], f"own string, {name[:-5]} string")
+
+    known = listed.withColumn("own", F.regexp_replace("path", "^file:/*", "/"))
+    known = known.drop("manifest", "profile").join(texts("manifest.json", 2), "own", "left").join(texts("profile.json", 3), "own", "left")
+    embedded = F.get_json_object("manifest", "$.profile")
+    early = F.when(F.col("incomplete"), "incomplete").when(F.col("manifest").isNull(), "no manifest").when(F.size("missing") > 0, F.concat(F.lit("missing "), F.array_join("missing", ", "))).when(
+        F.col("profile").isNull() | (F.regexp_replace("profile", r"\s", "") != F.regexp_replace(F.coalesce(embedded, F.lit("")), r"\s", "")), "profile")
+    known = known.withColumn("early", early)
+    accepted, skipped = run_catalogue(known.where("early IS NULL").select("path", F.col("manifest").alias("text"), "incomplete"))
+    return accepted, skipped.unionByName(known.where("early IS NOT NULL").select("path", F.col("early").alias("reason")))
+
+
 def fingerprint(content: Column, size: Column) -> Column:
     """SHA-256 of up to three samples of a file (head, middle, tail), each behind its offset of 8 bytes; equal offsets count once."""
     starts = F.array_distinct(F.array(F.lit(0).cast("long"), F.greatest(F.floor((size - SAMPLE) / 2), F.lit(0)).cast("long"), F.greatest(size - SAMPLE, F.lit(0)).cast("long")))

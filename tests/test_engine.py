@@ -141,7 +141,7 @@ def test_scalars(spark):
         scalar.csv_cell(F.lit('=A"')), scalar.twelve_digits(F.lit(0.5)), scalar.twelve_digits(F.lit(float("nan"))), scalar.significant(F.lit(123456.0)), scalar.nice_length(F.lit(73.0)),
         scalar.escape_cell_codes(F.lit("_x0041_ _x_")), scalar.wrapped(F.lit("a" * 130)), scalar.fits_fifteen_digits(F.lit("1234567890123456")), scalar.index_ignoring_case(F.array(F.lit("Ab"), F.lit("c")), F.lit("C")),
         scalar.relative_difference(F.lit(0.0), F.lit(1.0)), scalar.safe_file_name(F.lit("a/b c"))).first()
-    assert tuple(row) == ('"\'=A"""', "0.500000000000", "", 123500.0, 50.0, "_x005F_x0041_ _x_", "a" * 60 + "\n" + "a" * 60 + "\n" + "a" * 10, False, 1, float("inf"), "a_b_c")
+    assert tuple(row) == ('"\'=A"""', "0.500000000000", "", 123500.0, 50.0, "_x005F_x0041_ _x_", "a" * 60 + "\n" + "a" * 60 + "\n" + "a" * 10, False, 1, float("inf"), "a-b-c")
 
 
 def test_batch_states(spark):
@@ -182,7 +182,8 @@ def test_slide_index(spark, tmp_path):
     struct.pack_into("<I", loop, page + 4, page)
     with pytest.raises(ValueError, match="comes back"):
         list(slide_index.entries(bytes(loop), 45, 0))
-    files = spark.createDataFrame([(0, bytearray(range(250)))], "file_number long, content binary")
+    (tmp_path / "Data0000.dat").write_bytes(bytes(range(250)))
+    files = spark.createDataFrame([(0, f"file://{tmp_path}/Data0000.dat")], "file_number long, uri string")
     cut = slide_index.payloads(rows.where("file_number = 0 AND offset = 100"), files).first()
     assert bytes(cut.payload) == bytes(range(100, 110))
     packed = zlib.compress(struct.pack("<Bii", 1, 5, -7) + struct.pack("<Bii", 0, 2, 3))
