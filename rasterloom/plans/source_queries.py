@@ -94,7 +94,7 @@ def run_catalogue_skipped(spark, sf_dir):
 def segmentation_udtf(spark, sf_dir):
     """Connected areas of positive pixels, by tiles with a halo; the tests hold it against one image."""
     lines = table(spark, sf_dir, "lineitem")
-    return segment.segment_tiles(lines.select((F.col("l_orderkey") % 65_536).alias("x"), (F.col("l_partkey") % 65_536).alias("y")), 256, 32)
+    return segment.segment_tiles(lines.select((F.col("l_orderkey") % 65_536).alias("x"), (F.col("l_partkey") % 65_536).alias("y")), 1024, 32)
 
 
 @query("SELECT CAST(NULL AS INTEGER) AS mask, CAST(NULL AS BIGINT) AS masks_n, CAST(NULL AS BIGINT) AS stats_n WHERE false")
@@ -141,7 +141,7 @@ def mask_tile_store(spark, sf_dir):
     return tiles.agg(F.count("*").alias("tiles"), F.count_distinct("sha256").alias("contents"), F.sum("roi_pixels").alias("roi_pixels"))
 
 
-@query("""SELECT CAST(mask AS INTEGER) AS mask, label, shapes, round(hue, 9) AS hue FROM (SELECT p_size % 4 AS mask, count(*) AS shapes FROM part GROUP BY 1) JOIN (VALUES (0, '', NULL), (1, 'A', 0.61803398875), (2, 'B', 0.2360679775), (3, 'A+B', 0.85410196625)) AS t(m, label, hue) ON m = mask""")
+@query("""SELECT CAST(mask AS INTEGER) AS mask, label, shapes, round(CAST(hue AS DOUBLE), 9) AS hue FROM (SELECT p_size % 4 AS mask, count(*) AS shapes FROM part GROUP BY 1) JOIN (VALUES (0, '', NULL), (1, 'A', 0.61803398875), (2, 'B', 0.2360679775), (3, 'A+B', 0.85410196625)) AS t(m, label, hue) ON m = mask""")
 def classification_legend(spark, sf_dir):
     """Distinct masks with their labels, colours and numbers of shapes."""
     rows = masks.classification(table(spark, sf_dir, "part").select((F.col("p_size") % 4).alias("mask")), ["A", "B"])
