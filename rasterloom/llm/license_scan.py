@@ -237,7 +237,7 @@ def _met(docs: DataFrame, keys: DataFrame, spec: LicenseSpec, id_col: str, text_
     w = F.col("__w")
     pair = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1)).alias("key"), F.floor(i / spec.stride).cast("int").alias("at"))
     pairs = F.when(F.size(w) >= 2, F.transform(F.sequence(F.lit(0), F.size(w) - 2), pair))
-    grams = rows.select("__id", "__row", "__n", F.explode(F.array_distinct(pairs)).alias("__p"))
+    grams = rows.select("__id", "__row", "__n", F.explode(pairs).alias("__p"))
     met = grams.select("__id", "__row", "__n", F.col("__p.key").alias("__key"), F.col("__p.at").alias("__at")).join(F.broadcast(keys), "__key")
     # A stride is the second half of one window and the first of the next.
     met = met.withColumn("__window", F.explode(F.when(F.col("__at") > 0, F.array(F.col("__at") - 1, "__at")).otherwise(F.array("__at"))))
