@@ -4,7 +4,8 @@ A 64-bit fingerprint can't find such copies: at a Jaccard similarity of 0.8 abou
 its bits differ, ten of 64, and an index for ten differing bits prunes nothing. So the
 signature is wider and holds many codes of ``code_bits`` + 1 parts each. Two texts are
 candidates if some code differs by at most ``code_bits`` bits, and the last ``check_words``
-words of their signatures by at most ``check_bits``. The number of codes follows from
+words of their signatures by no more than ``spread`` standard deviations over what a pair at
+``min_similarity`` differs by. The number of codes follows from
 ``min_recall``, the share of pairs at ``min_similarity`` that are to meet in some code; the
 number of bits of a part from the number of rows, so that groups stay small. Candidates are linked
 only where the exact Jaccard similarity of their shingles is ``min_similarity``.
@@ -14,8 +15,10 @@ part and value; each such group is searched with the Gray-order index of ``simha
 spanning forest of its nearest candidates, never all pairs. Groups of more than ``group_rows`` are
 cut in slices, and every two slices are a task, so that no task grows with the input. The first
 ``first_tables`` tables are searched and confirmed first; pairs inside a class found so far are
-then left out. Where a similarity refutes a tree's edge, its tree is searched once more for every
-candidate pair of two classes, so that no link hangs on a refuted one. Texts of equal shingles
+then left out. Where a similarity refutes a tree's edge, the tree's texts are compared once more, class
+with class: shingles go along, whole signatures choose the pairs, and only confirmed links come
+out, as few as join the classes. So no link hangs on a refuted one. Such trees are cut in slices
+too. Texts of equal shingles
 are one node from the start, so that copies cost nothing there.
 
 Defined cases: as in ``simhash``; texts of fewer than ``shingle`` words have one shingle,
@@ -42,7 +45,7 @@ from .simhash import GrayIndex, gray_rank, union_classes
 
 @dataclass(frozen=True)
 class NearCopySpec:
-    """``group_rows`` and ``values_per_task`` bound a task and change no result; ``part_bits``: None, from the rows."""
+    """``group_rows``, ``tree_rows`` and ``values_per_task`` bound a task and change no result; ``part_bits``: None, from the rows."""
 
     shingle: int = 5
     min_similarity: float = 0.8
@@ -51,8 +54,9 @@ class NearCopySpec:
     part_bits: int | None = None
     first_tables: int = 3
     check_words: int = 4
-    check_bits: int = 56
+    spread: float = 3.0
     group_rows: int = 100_000
+    tree_rows: int = 1_000
     values_per_task: int = 16
     codes_per_task: int = 10_000
 
@@ -67,12 +71,22 @@ class Layout:
     words: int
 
 
+def differing(spec: NearCopySpec) -> float:
+    """Share of the bits in which two signatures at ``min_similarity`` differ, for sets of one size."""
+    return math.acos(2 * spec.min_similarity / (1 + spec.min_similarity)) / math.pi
+
+
+def most_bits(bits: int, spec: NearCopySpec) -> int:
+    """Bits of so many in which a candidate may differ."""
+    share = differing(spec)
+    return math.floor(share * bits + spec.spread * math.sqrt(share * (1 - share) * bits))
+
+
 def layout(rows: int, spec: NearCopySpec) -> Layout:
     """Parts are wide enough for at most 65,536 rows a value on average, and 8 bits at least."""
     parts = spec.code_bits + 1
     bits = spec.part_bits or max(8, math.ceil(math.log2(max(rows, 1) / 65_536)))
-    cosine = 2 * spec.min_similarity / (1 + spec.min_similarity)  # of two sets of one size
-    differ, n = math.acos(cosine) / math.pi, parts * bits
+    differ, n = differing(spec), parts * bits
     meet = sum(math.comb(n, k) * differ**k * (1 - differ) ** (n - k) for k in range(spec.code_bits + 1))
     tables = math.ceil(math.log(1 - spec.min_recall) / math.log(1 - meet))
     return Layout(parts, bits, tables, max(8, -(-tables * n // 64)))
@@ -126,9 +140,9 @@ def _tree(parent: np.ndarray, q: np.ndarray, p: np.ndarray, far: np.ndarray) ->
     return parent, np.concatenate([q, *[k[0] for k in kept]]), np.concatenate([p, *[k[1] for k in kept]])
 
 
-def _group_pairs(codes: np.ndarray, checks: np.ndarray, nodes: np.ndarray, labels: np.ndarray, every: bool, spec: NearCopySpec, leaf: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of nodes of two classes (labels) inside one group: a spanning forest, or every one."""
-    codes = codes.astype(np.uint64)
+def _group_pairs(codes: np.ndarray, checks: np.ndarray, nodes: np.ndarray, labels: np.ndarray, spec: NearCopySpec, leaf: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of nodes of two classes (labels) inside one group: a spanning forest."""
+    codes, most = codes.astype(np.uint64), most_bits(64 * checks.shape[1], spec)
     _, first, at = np.unique(labels, return_index=True, return_inverse=True)
     parent, left, right = first[at], [nodes[:0]], [nodes[:0]]
     members = np.argsort(gray_rank(codes), kind="stable")
@@ -149,46 +163,93 @@ def _group_pairs(codes: np.ndarray, checks: np.ndarray, nodes: np.ndarray, label
             near = (q < p) & (np.bitwise_count(codes[q] ^ codes[p]) <= spec.code_bits)
             q, p = q[near], p[near]
             far = np.bitwise_count(checks[q] ^ checks[p]).sum(axis=1, dtype=np.int64)
-            near = (far <= spec.check_bits) & (parent[q] != parent[p])
+            near = (far <= most) & (parent[q] != parent[p])
             q, p, far = q[near], p[near], far[near]
-            if not every:
-                parent, q, p = _tree(parent, q, p, far)
+            parent, q, p = _tree(parent, q, p, far)
             left.append(nodes[q])
             right.append(nodes[p])
     u, v = np.concatenate(left), np.concatenate(right)
     return np.maximum(u, v), np.minimum(u, v)
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: NearCopySpec, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (u, v) whose exact similarity is ``min_similarity``."""
+def _alike(x: np.ndarray, y: np.ndarray, spec: NearCopySpec) -> bool:
+    """If the exact Jaccard similarity of two sorted sets is ``min_similarity``."""
+    least, most = sorted((len(x), len(y)))
+    if least < spec.min_similarity * most - 1e-9:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= spec.min_similarity * (least + most - both) - 1e-9
+
+
+def _shingles(asked: DataFrame, nodes: DataFrame, docs: DataFrame, spec: NearCopySpec, id_col: str, text_col: str) -> DataFrame:
+    """__node and __set, the shingles of its text, for the nodes ``asked`` for."""
 
     @F.pandas_udf("binary")
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_hashes(t, spec).tobytes() for t in texts])
 
-    @F.pandas_udf("boolean")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both >= spec.min_similarity * (len(x) + len(y) - both) - 1e-9)
-        return pd.Series(out, dtype=bool)
-
-    asked = pairs.select(F.col("u").alias("__node")).union(pairs.select("v")).distinct()
     asked = materialise(nodes.join(asked, "__node").select("__node", F.col("__id").alias("__of"), F.col("__text_hash").alias("__of_hash")), "asked")
     few = F.broadcast(asked) if asked.count() <= BROADCAST_IDS else asked
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("__of"), text.alias("__text"), F.xxhash64(text).alias("__of_hash")).join(few, ["__of", "__of_hash"])
     held = materialise(rows.select("__node", hashed("__text").alias("__set")), "shingles")
-    sets = held.dropDuplicates(["__node"])
+    once = materialise(held.dropDuplicates(["__node"]), "shingles")
+    discard(asked, held)
+    return once
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, spec: NearCopySpec, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (u, v) whose exact similarity is ``min_similarity``."""
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([_alike(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), spec) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+    sets = _shingles(pairs.select(F.col("u").alias("__node")).union(pairs.select("v")).distinct(), nodes, docs, spec, id_col, text_col)
     one = materialise(pairs.join(sets.select(F.col("__node").alias("u"), F.col("__set").alias("__a")), "u"), "sides")
     both = one.join(sets.select(F.col("__node").alias("v"), F.col("__set").alias("__b")), "v")
     links = materialise(both.select("u", "v", alike("__a", "__b").alias("__same")).where("__same").select("u", "v"), "links")
-    discard(asked, held, one)
+    discard(sets, one)
     return links
 
 
+def _between_classes(x: pd.DataFrame, spec: NearCopySpec) -> pd.DataFrame:
+    """Links that join the classes (__label) of some nodes, nearest signatures first; each is confirmed."""
+    sig = np.stack([np.asarray(v, np.int64).view(np.uint64) for v in x["__sig"]])
+    sets, node = [np.frombuffer(v, "<u8") for v in x["__set"]], x["__node"].to_numpy(np.int64)
+    _, first, at = np.unique(x["__label"].to_numpy(np.int64), return_index=True, return_inverse=True)
+    parent, most, near = first[at].tolist(), most_bits(64 * sig.shape[1], spec), []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    label = first[at]
+    for i in range(len(sig) - 1):
+        far = np.bitwise_count(sig[i + 1 :] ^ sig[i]).sum(axis=1, dtype=np.int64)
+        hit = np.flatnonzero((far <= most) & (label[i + 1 :] != label[i]))
+        near.append(np.stack([far[hit], np.full(len(hit), i), i + 1 + hit]))
+    near, out = np.concatenate([np.zeros((3, 0), np.int64), *near], axis=1), []
+    for i, j in near[1:, np.argsort(near[0], kind="stable")].T.tolist():
+        a, b = root(i), root(j)
+        if a != b and _alike(sets[i], sets[j], spec):
+            parent[a] = b
+            out.append((max(node[i], node[j]), min(node[i], node[j])))
+    return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["u", "v"])
+
+
+def _searched_again(trees: DataFrame, nodes: DataFrame, docs: DataFrame, spec: NearCopySpec, id_col: str, text_col: str) -> DataFrame:
+    """Links between the classes of each tree; trees: __tree, __sig, __node and __label."""
+    sets = _shingles(trees.select("__node"), nodes, docs, spec, id_col, text_col)
+    slices = materialise(trees.groupBy("__tree").agg(F.ceil(2 * F.count("*") / spec.tree_rows).cast("int").alias("__slices")), "slices")
+    rows = materialise(trees.join(sets, "__node"), "trees").join(slices, "__tree").withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__slices") - 1)))
+    own = F.pmod(F.xxhash64("__node"), F.col("__slices"))
+    task = F.xxhash64("__tree", F.least(own, "__other"), F.greatest(own, "__other"))
+    rows = rows.select(task.alias("__task"), "__sig", "__set", "__node", "__label")
+    return rows.groupBy("__task").applyInPandas(lambda x: _between_classes(x, spec), "u long, v long").distinct()
+
+
 def _deal(nodes: DataFrame, tables: range, form: Layout, spec: NearCopySpec) -> DataFrame:
     """__task, __key, __code, c<j>, __node and __label, a row for each part of each code; hot keys in slices."""
     sig, n = F.col("__sig"), form.bits
@@ -222,8 +283,8 @@ def _deal(nodes: DataFrame, tables: range, form: Layout, spec: NearCopySpec) ->
     return rows.where("__slices IS NULL").drop("__slices").unionByName(sliced)
 
 
-def _candidates(nodes: DataFrame, tables: range, every: bool, form: Layout, spec: NearCopySpec) -> DataFrame:
-    """Candidate pairs (u, v), u > v, of nodes with different labels: a forest of each group, or every one."""
+def _candidates(nodes: DataFrame, tables: range, form: Layout, spec: NearCopySpec) -> DataFrame:
+    """Candidate pairs (u, v), u > v, of nodes with different labels: a forest of each group."""
     checks = [f"c{j}" for j in range(spec.check_words)]
 
     def search(x: pd.DataFrame) -> pd.DataFrame:
@@ -231,7 +292,7 @@ def _candidates(nodes: DataFrame, tables: range, every: bool, form: Layout, spec
         code, node, label = (x[c].to_numpy(np.int64) for c in ("__code", "__node", "__label"))
         check = np.stack([x[c].to_numpy(np.int64).view(np.uint64) for c in checks], axis=1)
         cuts = np.flatnonzero(np.diff(x["__key"].to_numpy(), prepend=-1))
-        found = [_group_pairs(code[a:b], check[a:b], node[a:b], label[a:b], every, spec) for a, b in zip(cuts, [*cuts[1:], len(x)], strict=True) if b - a > 1]
+        found = [_group_pairs(code[a:b], check[a:b], node[a:b], label[a:b], spec) for a, b in zip(cuts, [*cuts[1:], len(x)], strict=True) if b - a > 1]
         return pd.DataFrame({"u": np.concatenate([f[0] for f in found] or [node[:0]]), "v": np.concatenate([f[1] for f in found] or [node[:0]])})
 
     return _deal(nodes, tables, form, spec).groupBy("__task").applyInPandas(search, "u long, v long").distinct()
@@ -267,18 +328,17 @@ def copy_groups(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: st
 
     links = tried = None
     for tables in (range(spec.first_tables), range(spec.first_tables, form.tables)):
-        pairs = _candidates(labelled(links) if links is None else materialise(labelled(links), "labels"), tables, False, form, spec)
+        pairs = _candidates(labelled(links) if links is None else materialise(labelled(links), "labels"), tables, form, spec)
         pairs = materialise(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
         found = _confirmed(pairs, nodes, docs, spec, id_col, text_col)
         tried, links = (pairs, found) if links is None else (tried.union(pairs), links.union(found))
     refuted = materialise(tried.join(links, ["u", "v"], "left_anti"), "refuted")
-    if not refuted.isEmpty():  # every candidate pair of two classes, in the trees that lost an edge
+    if not refuted.isEmpty():  # class with class, in the trees that lost an edge
         trees = labelled(links).join(classes(tried, "__tree"), "__node", "left").withColumn("__tree", F.coalesce("__tree", "__node"))
         trees = materialise(trees, "trees")
         broken = trees.join(refuted.select(F.col("u").alias("__node")).distinct(), "__node").select("__tree").distinct()
-        again = materialise(trees.join(broken, "__tree", "left_semi").select("__sig", "__node", "__label"), "again")
-        more = _candidates(again, range(form.tables), True, form, spec).join(refuted, ["u", "v"], "left_anti")
-        links = links.union(_confirmed(materialise(more, "more"), nodes, docs, spec, id_col, text_col))
+        again = materialise(trees.join(broken, "__tree", "left_semi").select("__tree", "__sig", "__node", "__label"), "again")
+        links = links.union(materialise(_searched_again(again, nodes, docs, spec, id_col, text_col), "more"))
     named = materialise(labelled(links).drop("__sig"), "classes")
     heads = named.groupBy("__label").agg(least).select("__label", F.col("__least.__id").alias("__group"), F.col("__least.__text_hash").alias("__group_hash"))
     groups = materialise(named.join(materialise(heads, "heads"), "__label").select("__whole", "__group", "__group_hash"), "named")
