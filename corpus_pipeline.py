@@ -3,16 +3,19 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; it
 is written as Parquet and read again for the next. All but the last return the columns of
 ``documents``; the last returns each document with its shard and slot.
+
+Defined cases, in every stage: a null text is an empty one, which quality rules reject; a null id is
+kept and dealt like any other; repeated rows of one id and text are copies, of which near-dedup keeps one,
+while rows that share an id alone are judged by their own texts; ties go to the least id; an empty
+table gives an empty result; further columns, whatever their names, go along up to mixing.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from rasterloom.llm import decontaminate, mixing, near_copies, quality_rules, sharding
-from rasterloom.llm._common import scratch_dir, table
+from rasterloom.llm._common import discard, materialise, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,13 +61,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    folder = f"{scratch_dir(spark)}/rasterloom-pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{folder}/{k}")
-        docs = spark.read.schema(out.schema).parquet(f"{folder}/{k}")
-    return docs
+    """All stages over ``documents``. A stage's table is removed when the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        if before is not None:
+            discard(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
