@@ -286,6 +286,24 @@ def test_token_store(spark, sf):
         at += len(ids)
 
 
+def test_token_files_can_be_read_in_part(spark, sf, tmp_path):
+    """Lists with a dictionary, delta-coded sorted columns, page indexes; a selection reads its columns alone."""
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    spec = token_store.TokenSpec(public_tokenizers.path("word_bpe_49k.json"))
+    token_store.write_tokens(spark.read.parquet(f"{sf}/documents.parquet"), f"file://{tmp_path}/tokens", spec)
+    files = sorted(tmp_path.glob("tokens/*.parquet"))
+    assert files
+    for f in files:
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        column = {group.column(i).path_in_schema.split(".")[0]: group.column(i) for i in range(group.num_columns)}
+        assert any("DICTIONARY" in e for e in column["tokens"].encodings) and any("DELTA" in e for e in column["doc_id"].encodings)
+        assert column["doc_id"].has_column_index and column["tokens"].has_offset_index
+    some = token_store.read_tokens(spark, f"file://{tmp_path}/tokens").where("doc_id = 7").select("doc_id", "n_tokens")
+    plan = some._jdf.queryExecution().toString()
+    scan = next(line for line in plan.splitlines() if "ReadSchema" in line and "doc_id" in line)
+    assert "tokens:array" not in scan.split("ReadSchema")[1] and "EqualTo(doc_id,7)" in scan
+
+
 def test_word_encoder_is_the_tokenizer():
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
