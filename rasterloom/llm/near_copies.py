@@ -155,8 +155,8 @@ def _group_pairs(codes: np.ndarray, checks: np.ndarray, nodes: np.ndarray, label
         first, last = np.minimum.reduceat(label, cuts), np.maximum.reduceat(label, cuts)
         new = ~((first[group] == last[group]) & (first[group] == parent[who]))
         who, group = who[new], group[new]
-        for at in range(0, len(who), 1 << 16):
-            w, g = who[at : at + (1 << 16)], group[at : at + (1 << 16)]
+        for at in range(0, len(who), 1 << 14):
+            w, g = who[at : at + (1 << 14)], group[at : at + (1 << 14)]
             q = np.repeat(w, width[g])
             place = np.arange(len(q)) - np.repeat(np.cumsum(width[g]) - width[g], width[g]) + np.repeat(cuts[g], width[g])
             p = members[place]

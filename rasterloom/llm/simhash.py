@@ -104,8 +104,12 @@ class GrayIndex:
             mask = np.bitwise_and.reduceat(m, cuts) & ~(low ^ high)
             self.levels.append((mask, high & mask))
 
-    def search(self, codes: np.ndarray, d: int, block: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (place in codes, lowest node) that may be within d, for block after block of codes."""
+    def search(self, codes: np.ndarray, d: int, held: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (place in codes, lowest node) that may be within d, for block after block of codes.
+
+        Blocks are so small that even where no group can be left, about ``held`` pairs are held at once.
+        """
+        block = max(64, min(4096, held // max(1, len(self.levels[0][0]))))
         for at in range(0, len(codes), block):
             own = codes[at : at + block]
             m, p = self.levels[-1]
@@ -162,8 +166,8 @@ def local_forest(codes: np.ndarray, nodes: np.ndarray, own: np.ndarray, d: int,
         first, last = np.minimum.reduceat(label, cuts), np.maximum.reduceat(label, cuts)
         new = ~((first[group] == last[group]) & (first[group] == parent[who]))
         who, group = who[new], group[new]
-        for at in range(0, len(who), 1 << 17):
-            w, g = who[at : at + (1 << 17)], group[at : at + (1 << 17)]
+        for at in range(0, len(who), 1 << 14):
+            w, g = who[at : at + (1 << 14)], group[at : at + (1 << 14)]
             q = np.repeat(w, width[g])
             place = np.arange(len(q)) - np.repeat(np.cumsum(width[g]) - width[g], width[g]) + np.repeat(cuts[g], width[g])
             near = np.bitwise_count(codes[q] ^ kept[place]) <= d
