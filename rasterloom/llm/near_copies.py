@@ -318,28 +318,30 @@ def copy_groups(docs: DataFrame, spec: NearCopySpec = NearCopySpec(), id_col: st
     nodes = signed.groupBy("__whole").agg(least, F.any_value("__sig").alias("__sig")).select("__whole", F.xxhash64("__whole").alias("__node"), "__sig", "__least.*")
     nodes = materialise(nodes, "nodes")
 
-    def classes(edges: DataFrame, name: str) -> DataFrame:
-        return connected_components(edges).select(F.col("u").alias("__node"), F.col("v").alias(name))
-
-    def labelled(links: DataFrame | None) -> DataFrame:
-        if links is None:
+    # Classes so far as stars (u, v), v the least node: further links are added to them, so that few rounds are left.
+    def labelled(stars: DataFrame | None) -> DataFrame:
+        if stars is None:
             return nodes.withColumn("__label", F.col("__node"))
-        return nodes.join(classes(links, "__label"), "__node", "left").withColumn("__label", F.coalesce("__label", "__node"))
+        own = stars.select(F.col("u").alias("__node"), F.col("v").alias("__label"))
+        return nodes.join(own, "__node", "left").withColumn("__label", F.coalesce("__label", "__node"))
 
-    links = tried = None
+    stars = tried = refuted = None
     for tables in (range(spec.first_tables), range(spec.first_tables, form.tables)):
-        pairs = _candidates(labelled(links) if links is None else materialise(labelled(links), "labels"), tables, form, spec)
+        pairs = _candidates(labelled(stars) if stars is None else materialise(labelled(stars), "labels"), tables, form, spec)
         pairs = materialise(pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"), "pairs")
         found = _confirmed(pairs, nodes, docs, spec, id_col, text_col)
-        tried, links = (pairs, found) if links is None else (tried.union(pairs), links.union(found))
-    refuted = materialise(tried.join(links, ["u", "v"], "left_anti"), "refuted")
+        lost = pairs.join(found, ["u", "v"], "left_anti")
+        stars = connected_components(found if stars is None else stars.union(found))
+        tried, refuted = (pairs, lost) if tried is None else (tried, refuted.union(lost))
+    refuted = materialise(refuted, "refuted")
     if not refuted.isEmpty():  # class with class, in the trees that lost an edge
-        trees = labelled(links).join(classes(tried, "__tree"), "__node", "left").withColumn("__tree", F.coalesce("__tree", "__node"))
-        trees = materialise(trees, "trees")
+        tree = connected_components(stars.union(refuted)).select(F.col("u").alias("__node"), F.col("v").alias("__tree"))
+        trees = materialise(labelled(stars).join(tree, "__node", "left").withColumn("__tree", F.coalesce("__tree", "__node")), "trees")
         broken = trees.join(refuted.select(F.col("u").alias("__node")).distinct(), "__node").select("__tree").distinct()
         again = materialise(trees.join(broken, "__tree", "left_semi").select("__tree", "__sig", "__node", "__label"), "again")
-        links = links.union(materialise(_searched_again(again, nodes, docs, spec, id_col, text_col), "more"))
-    named = materialise(labelled(links).drop("__sig"), "classes")
+        more = materialise(_searched_again(again, nodes, docs, spec, id_col, text_col), "more")
+        stars = stars if more.isEmpty() else connected_components(stars.union(more))
+    named = materialise(labelled(stars).drop("__sig"), "classes")
     heads = named.groupBy("__label").agg(least).select("__label", F.col("__least.__id").alias("__group"), F.col("__least.__text_hash").alias("__group_hash"))
     groups = materialise(named.join(materialise(heads, "heads"), "__label").select("__whole", "__group", "__group_hash"), "named")
     return signed.drop("__sig").join(groups, "__whole").select("__id", "__text_hash", "__group", "__group_hash")
