@@ -71,6 +71,36 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN))
 
 
+#: Elements that ``sums_before`` adds up in one run.
+RUN = 64
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often its result names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def sums_before(values: Column) -> Column:
+    """Array of the sums of all elements before each one.
+
+    Runs of RUN elements are added up by themselves and then shifted by the sums of the runs before,
+    as a fold that appends to one array copies it at each step.
+    """
+    def fold(xs: Column, size) -> Column:
+        return F.aggregate(xs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                           lambda a, x: F.struct((a["at"] + size(x)).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))
+
+    def shifted(runs: Column) -> Column:
+        heads = fold(runs, lambda r: r["at"])["out"]
+        return F.flatten(F.zip_with(runs, heads, lambda r, head: F.transform(r["out"], lambda x: x + head)))
+
+    def cut(xs: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(xs) / RUN).cast("int") - 1, F.lit(0))
+        return bound(F.transform(F.sequence(F.lit(0), last), lambda b: fold(F.slice(xs, b * RUN + 1, F.lit(RUN)), lambda x: x)), shifted)
+
+    return bound(values, cut)
+
+
 def has_word(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES)) != ""
 

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._common import sums_before
+
 OPEN, OPEN_ESCAPED, HEAD, TAIL, CLOSE = "<s>", "<x>", "[INST] ", " [/INST]", "</s>"
 TOKENS = (OPEN, OPEN_ESCAPED, "[INST]", "[/INST]", CLOSE)
 
@@ -57,8 +59,8 @@ def render(turns: Column, level: int) -> Column:
 
 
 def parse(formatted: Column) -> Column:
-    """Turns read back: array of struct(role, text, start, chars), the latter two for the text
-    as it stands in the formatted string (code points). A malformed piece has a null role."""
+    """Turns read back: array of struct(role, text, skip, size, chars, escaped); the numbers are code points of
+    the formatted string: before the text, of the piece, of the text. A malformed piece has a null role."""
     pieces = F.split(formatted, CLOSE)
     pieces = F.slice(pieces, 1, F.size(pieces) - 1)
 
@@ -72,7 +74,7 @@ def parse(formatted: Column) -> Column:
         return F.struct(
             F.when(good, F.when(coded, unescape(raw_role)).otherwise(raw_role)).alias("role"),
             F.when(coded, unescape(raw)).otherwise(raw).alias("text"),
-            (cut + 2 + len(HEAD)).alias("skip"), F.char_length(p).alias("size"), F.char_length(raw).alias("chars"))
+            (cut + 2 + len(HEAD)).alias("skip"), F.char_length(p).alias("size"), F.char_length(raw).alias("chars"), coded.alias("escaped"))
 
     return F.transform(pieces, one)
 
@@ -100,14 +102,9 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
         found = F.when(good, F.lit(level)).otherwise(F.lit(-1))
         convs = convs.select("__conv", "__turns", "__formatted", (F.when(F.col("__level") >= 0, F.col("__level")).otherwise(found) if level else found).alias("__level"))
     convs = convs.select("__conv", "__formatted", "__level", parse(F.col("__formatted")).alias("__read"))
-    begun = F.aggregate(
-        "__read", F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda a, t: F.struct((a["at"] + t["size"] + len(CLOSE)).alias("at"), F.concat(a["starts"], F.array(a["at"] + t["skip"])).alias("starts")),
-        lambda a: a["starts"])
-    convs = convs.select("*", begun.alias("__starts"))
+    convs = convs.select("*", sums_before(F.transform("__read", lambda t: t["size"] + len(CLOSE))).alias("__before"))
     spans = F.filter(
-        F.transform("__read", lambda t, i: F.struct(t["role"].alias("role"), F.get("__starts", i).alias("start"), t["chars"].alias("chars"),
-                                                    (F.substr("__formatted", F.get("__starts", i) - t["skip"] + 1, F.lit(3)) == OPEN_ESCAPED).alias("escaped"))),
+        F.zip_with("__read", "__before", lambda t, at: F.struct(t["role"].alias("role"), (at + t["skip"]).alias("start"), t["chars"].alias("chars"), t["escaped"].alias("escaped"))),
         lambda t: t["role"].isin(*loss_roles))
     return convs.select(
         F.col("__conv").alias(conv_col), F.col("__formatted").alias("formatted"), F.col("__level").alias("level"),

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise
+from ._common import bound, materialise, sums_before
 
 
 @dataclass(frozen=True)
@@ -165,13 +165,13 @@ def _spans(text: Column, rule: Rule, k: int) -> Column:
     value = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group))
     parts = F.arrays_zip(F.transform(F.slice(pieces, 1, F.size(whole)), F.char_length).alias("gap"),
                          F.transform(whole, F.char_length).alias("run"), F.transform(value, F.char_length).alias("value"))
-    start = F.struct(F.lit(0).alias("at"), _none().alias("out"))
-    step = lambda a, p: F.struct(
-        (a["at"] + p["gap"] + p["run"]).alias("at"),
-        F.when(p["value"] >= rule.min_chars, F.concat(a["out"], F.array(F.struct(
-            (a["at"] + p["gap"]).alias("start"), F.lit(k).alias("order"), (a["at"] + p["gap"] + p["run"]).alias("end"),
-            F.lit(rule.kind).alias("kind"))))).otherwise(a["out"]).alias("out"))
-    return F.aggregate(parts, start, step, lambda a: a["out"])
+    def placed(ps: Column) -> Column:
+        begun = sums_before(F.transform(ps, lambda p: p["gap"] + p["run"]))
+        span = lambda p, at: F.when(p["value"] >= rule.min_chars, F.struct(
+            (at + p["gap"]).alias("start"), F.lit(k).alias("order"), (at + p["gap"] + p["run"]).alias("end"), F.lit(rule.kind).alias("kind")))
+        return F.filter(F.zip_with(ps, begun, span), lambda s: s.isNotNull())
+
+    return bound(parts, placed)
 
 
 def _none() -> Column:

@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rasterloom.llm import chat_format, components, decontaminate, language_id, license_scan, mixing, near_copies, queries, quality_rules, secret_scan, sharding, simhash, token_store
+from rasterloom.llm._common import RUN, sums_before
 
 
 def rows_of(sf, name):
@@ -86,6 +87,21 @@ def test_secrets_by_brute_force(spark, sf):
     assert found >= 7
 
 
+def test_many_matches_and_turns(spark):
+    """Rows with more matches or turns than one run of the running sums holds."""
+    for n in (0, 1, RUN, RUN + 1, 5 * RUN):
+        values = [7 * i % 11 for i in range(n)]
+        got = spark.createDataFrame([(values,)], "v array<int>").select(sums_before(F.col("v"))).first()[0]
+        assert got == [sum(values[:i]) for i in range(n)]
+    text = "é ".join(f"token={'a' * (6 + i % 4)}" for i in range(1000))
+    got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    assert [(s.start, s.end) for s in got] == [m.span() for m in re.finditer("token=(a+)", text) if len(m.group(1)) >= 8]
+    rows = [(1, i, "user" if i % 3 else "assistant", "x" * (i % 5) + ("<s>" if i % 7 == 0 else "")) for i in range(1000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    r = chat_format.format_conversations(df).withColumn("said", chat_format.loss_text(F.col("formatted"), F.col("loss"))).first()
+    assert r.identical and [tuple(t) for t in r.turns] == [x[2:] for x in rows] and r.said == "".join(x[3] for x in rows if x[2] == "assistant")
+
+
 def test_trigram_queries():
     assert secret_scan.trigram_query(r"[0-9a-f]{32,}") is None
     assert secret_scan.trigram_query("AKIA[A-Z0-9]+") == frozenset([frozenset(["aki", "kia"])])
