@@ -84,7 +84,8 @@ def sums_before(values: Column) -> Column:
     """Array of the sums of all elements before each one.
 
     Runs of RUN elements are added up by themselves and then shifted by the sums of the runs before,
-    as a fold that appends to one array copies it at each step.
+    as a fold that appends to one array copies it at each step. Over the runs' sums such a fold remains,
+    so the copying still grows with the square of the elements, at about 1 / RUN ** 2 of it.
     """
     def fold(xs: Column, size) -> Column:
         return F.aggregate(xs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
