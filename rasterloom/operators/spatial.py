@@ -34,6 +34,25 @@ def overlap_join(left: DataFrame, right: DataFrame, size: int = 512) -> DataFram
     return both.where(meets & first).drop("bx", "by")
 
 
+def covered_join(left: DataFrame, right: DataFrame, size: int, low: int, high: int, parts: int) -> DataFrame:
+    """Pairs whose left rectangle covers the right one; left: lx, ly, lw, lh with sides over 0; right: rx, ry, rw, rh.
+
+    A covered rectangle is needed only in the bucket of its corner, as that lies in the cover. One of a side
+    below 0 reaches back from its corner; the pair counts in the first bucket that both touch. All corners are
+    in [low, high], so longer sides are cut there. The number of parts is given, as Spark would merge them by
+    the bytes that they read, while a pair may stand for many rows.
+    """
+    c = F.col
+    back = lambda at, by: F.greatest(F.least(c(at), c(at) + c(by)), F.lit(low))
+    over = lambda start, end: F.explode(F.sequence(bucket(start, size), bucket(end, size)))
+    a = left.where((c("lw") > 0) & (c("lh") > 0))
+    a = a.withColumn("bx", over(c("lx"), F.least(c("lx") + c("lw"), F.lit(high)))).withColumn("by", over(c("ly"), F.least(c("ly") + c("lh"), F.lit(high))))
+    b = right.withColumn("bx", over(back("rx", "rw"), c("rx"))).withColumn("by", over(back("ry", "rh"), c("ry")))
+    inside = covers(c("lx"), c("ly"), c("lw"), c("lh"), c("rx"), c("ry"), c("rw"), c("rh"))
+    first = (bucket(F.greatest(c("lx"), back("rx", "rw")), size) == c("bx")) & (bucket(F.greatest(c("ly"), back("ry", "rh")), size) == c("by"))
+    return a.repartition(parts, "bx", "by").join(b.repartition(parts, "bx", "by"), ["bx", "by"]).where(inside & first).drop("bx", "by")
+
+
 def points_in_objects(points: DataFrame, objects: DataFrame, test: Column, size: int = 512) -> DataFrame:
     """Many-to-many: each point with every object that holds it. points: x, y; objects: ox, oy, ow, oh (envelope)."""
     a = points.withColumn("bx", bucket(F.col("x"), size)).withColumn("by", bucket(F.col("y"), size))

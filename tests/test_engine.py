@@ -129,6 +129,32 @@ def test_overlap_join_is_brute_force(spark, seed):
     assert len(got) == len(want) and {(r.l_id, r.r_id) for r in got} == want
 
 
+def test_containment_pairs_of_odd_sizes_and_copies(spark, tmp_path):
+    """Sides of 0 and below, over the whole plane, absent ones, ids below 0, more than once and of one place."""
+    from rasterloom.plans import export_queries
+
+    rng = random.Random(5)
+    rows = [(rng.randrange(-3000, 3000), rng.choice([-40, -3, 0, 0, 1, 5, 20, 50, 600, 3000, None])) for _ in range(600)]
+    rows += [(1024 * i + 7, 10 + i % 3) for i in range(-30, 30)] + [((1 << 20) * i + 7, 4) for i in range(9)] + rows[:9] + [(None, 5)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    place = [(k, int(math.fmod(k * 37, 1024)), int(math.fmod(k * 91, 1024)), s) for k, s in rows if k is not None and s is not None]
+    want = sorted((a, b) for a, ax, ay, s in place for b, bx, by, t in place
+                  if bx >= ax and by >= ay and bx + t <= ax + 2 * s and by + t <= ay + 2 * s and 4 * s * s > t * t)
+    got = sorted(tuple(r) for r in export_queries.containment_pairs(spark, str(tmp_path)).select("cell", "nucleus").collect())
+    assert got == want and any(s == 0 for _, _, _, s in place)
+
+
+def test_containment_pairs_joins_sets_of_copies(spark, tmp_path):
+    """Ids of one place and size are joined as one row, whatever their number."""
+    from rasterloom.plans import export_queries
+
+    spark.range(2000).selectExpr("id * 1024 AS p_partkey", "CAST(10 + id % 2 AS INT) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    df = export_queries.containment_pairs(spark, str(tmp_path))
+    assert df.groupBy().count().first()[0] == 2000 * 2000
+    generated = df._jdf.queryExecution().optimizedPlan().toString()
+    assert generated.index("explode(l_ids") < generated.index("Join ")
+
+
 def test_rings(spark):
     assert geometry.simple_ring(np.array([(0, 0), (4, 0), (4, 4), (0, 4)], float)) and not geometry.simple_ring(np.array([(0, 0), (4, 4), (4, 0), (0, 4)], float))
     df = spark.createDataFrame([([(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (0.0, 2.0)],)], f"r {geometry.RING}")
