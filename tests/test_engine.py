@@ -113,6 +113,20 @@ def test_levels(spark):
     assert raster.tile_grid(10, 7, 4, spark.range(1)).agg(F.sum(F.col("w") * F.col("h"))).first()[0] == 70
 
 
+def test_subtiles_of_images_beyond_one_grid(spark, tmp_path):
+    from rasterloom.plans import raster_queries
+
+    numbers = [0, 62, 63, 64, 4031, 4032, 4095, 4096, 4097, 4160, 8191, 8192, 19_999, 4096 * 300 + 5]
+    spark.createDataFrame([(k,) for k in numbers], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    cameras = [(k, k % 7) for k in range(0, 1024)]
+    spark.createDataFrame(cameras, "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    active = {k for k, n in cameras if k == 0 or n % 2}
+    placed = [(k, a, b, k % 64 + 2 * a, k // 64 % 64 + 2 * b) for k in numbers for a in (0, 1) for b in (0, 1)]
+    want = [r for r in placed if r[3] < 64 and r[4] < 64 and r[4] // 2 * 32 + r[3] // 2 in active]
+    got = raster_queries.subtile_explode_active(spark, str(tmp_path)).select("image", "part_x", "part_y", "gx", "gy").collect()
+    assert sorted(tuple(r) for r in got) == sorted(want) and max(want)[0] == numbers[-1]
+
+
 def test_last_writer_wins_even_with_zero(spark):
     df = spark.createDataFrame([(1, 1, 0, 9), (1, 1, 2, 0), (1, 2, 1, 5)], "x int, y int, ord int, v int")
     assert {(r.x, r.y): r.v for r in raster.last_writer(df, F.col("ord"), ["v"], "x", "y").collect()} == {(1, 1): 0, (1, 2): 5}
