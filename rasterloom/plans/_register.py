@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +25,8 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table with the place of each row, (file, row), by which it is read from start to end."""
+    return table(spark, sf_dir, name).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))

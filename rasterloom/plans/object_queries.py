@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.pixel import label_text
 from ..operators import marker, objects, review, runs
-from ._register import query, table
+from ._register import query, stored, table
 from .marker_queries import NAMES, SQL_LABEL, sql_combos, sql_long
 
 CHANNELS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -21,14 +22,22 @@ def means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects.compartment_means(lines, "l_orderkey", F.col("l_linestatus") == "F", F.col("l_linestatus") == "O", CHANNELS)
 
 
-def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each order: envelope of its lines, pixels and means of its compartments; one pass over lineitem and one join."""
-    lines = table(spark, sf_dir, "lineitem")
+def cells(spark: SparkSession, sf_dir: str, in_order: bool = False) -> DataFrame:
+    """A row for each order: envelope of its lines, pixels and means of its compartments; one pass over lineitem and one join.
+
+    in_order: a cell's lines are added up as they are stored. Sums of doubles depend on their order, and many means
+    lie at a threshold, so that otherwise the split of the files decides on which side.
+    """
     nucleus, cytoplasm = F.col("l_linestatus") == "F", F.col("l_linestatus") == "O"
-    per = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.count("*").alias("lines"), F.min("l_partkey").alias("low_x"), F.max("l_linenumber").alias("high_n"),
-        F.count_if(nucleus).alias("nucleus_pixels"), F.count_if(cytoplasm).alias("cytoplasm_pixels"),
-        *[F.avg(F.when(c, F.col(ch))).alias(f"{ch}_{p}") for ch in CHANNELS for p, c in (("nucleus", nucleus), ("cytoplasm", cytoplasm))])
+    sums = {"lines": F.count("*"), "low_x": F.min("l_partkey"), "high_n": F.max("l_linenumber"), "nucleus_pixels": F.count_if(nucleus), "cytoplasm_pixels": F.count_if(cytoplasm)}
+    sums |= {f"{ch}_{p}": F.avg(F.when(c, F.col(ch))) for ch in CHANNELS for p, c in (("nucleus", nucleus), ("cytoplasm", cytoplasm))}
+    key = F.col("l_orderkey").alias("o_orderkey")
+    if in_order:
+        lines, w = stored(spark, sf_dir, "lineitem"), Window.partitionBy("l_orderkey").orderBy("file", "row")
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        per = lines.select(key, F.lead(F.lit(True)).over(w).alias("more"), *[s.over(upto).alias(n) for n, s in sums.items()]).where("more IS NULL").drop("more")
+    else:
+        per = table(spark, sf_dir, "lineitem").groupBy(key).agg(*[s.alias(n) for n, s in sums.items()])
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice").join(per, "o_orderkey", "left")
 
 
@@ -61,7 +70,7 @@ hists AS (SELECT 'NPN' AS metric, npn AS bits, count(*) AS c FROM masks GROUP BY
 
 
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = cells(spark, sf_dir).where(reason().isNull())
+    good = cells(spark, sf_dir, in_order=True).where(reason().isNull())
     return objects.phenotype_masks(good, CHANNELS, NUCLEUS, CYTOPLASM)
 
 
