@@ -133,6 +133,35 @@ def test_cell_combinations_sum_in_stored_order(spark, tmp_path):
     same_as_sql_in_one_thread(spark, tmp_path, "cell_combinations_long")
 
 
+def test_cell_histograms_sum_in_stored_order(spark, tmp_path):
+    """Against a plain sum of each order's lines, at two splits of the files."""
+    from rasterloom.plans import object_queries as own
+
+    lines = cells_in_files(tmp_path)
+    by = {}
+    for line in lines:
+        by.setdefault(line[0], []).append(line)
+    def mask(rows, thresholds):
+        means = [0.0] * 4
+        for r in rows:
+            means = [m + v for m, v in zip(means, r[3:7], strict=True)]
+        return sum((m / len(rows) >= t) << j for j, (m, t) in enumerate(zip(means, thresholds, strict=True)))
+    want = {}
+    for key, rows in by.items():
+        nucleus, cytoplasm = ([r for r in rows if r[7] == s] for s in "FO")
+        if key % 9 and nucleus and cytoplasm:
+            n, c = mask(nucleus, own.NUCLEUS), mask(cytoplasm, own.CYTOPLASM)
+            for k in (("NPN", n), ("CPN", c), ("PN", n | c)):
+                want[k] = want.get(k, 0) + 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "20k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert {(r.metric, r["mask"]): r.n for r in own.cell_npn_cpn_pn(spark, str(tmp_path)).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_display_audit(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (15.0,), (20.0,), (21.0,), (float("nan"),), (float("inf"),)], "v double")
     r = quality.display_audit(df, F.col("v"), 10, 20).first()
