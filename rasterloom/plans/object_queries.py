@@ -120,7 +120,7 @@ def nuclear_population(spark, sf_dir):
     c = F.col
     why = objects.first_failure(objects.NUCLEAR, {
         "missing_nucleus_roi": F.coalesce("nucleus_pixels", F.lit(0)) == 0, "different_image_plane": c("o_orderstatus") == "P", "nucleus_outside_image": c("high_n") > 6})
-    nuclei = objects.phenotype_masks(cells(spark, sf_dir).where(why.isNull()), CHANNELS, NUCLEUS, CYTOPLASM)
+    nuclei = objects.phenotype_masks(cells(spark, sf_dir, in_order=True).where(why.isNull()), CHANNELS, NUCLEUS, CYTOPLASM)
     counts = marker.combinations(marker.histogram(nuclei, c("npn")), len(NAMES))
     return counts.select(label_text(c("mask"), NAMES).alias("combination"), "*")
 

@@ -162,6 +162,11 @@ def test_cell_histograms_sum_in_stored_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_nuclei_sum_in_stored_order(spark, tmp_path):
+    cells_in_files(tmp_path)
+    same_as_sql_in_one_thread(spark, tmp_path, "nuclear_population")
+
+
 def test_display_audit(spark):
     df = spark.createDataFrame([(0.0,), (10.0,), (15.0,), (20.0,), (21.0,), (float("nan"),), (float("inf"),)], "v double")
     r = quality.display_audit(df, F.col("v"), 10, 20).first()
