@@ -28,5 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table with the place of each row, (file, row), by which it is read from start to end."""
-    return table(spark, sf_dir, name).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    """A table with the place of each row, (file, row), by which it is read from start to end.
+
+    Files are ordered by their names, not by the URLs that Spark gives, where a space is %20 and comes after "!".
+    """
+    url = F.col("_metadata.file_path")
+    file = F.when(url.contains("%"), F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B")))).otherwise(url)
+    return table(spark, sf_dir, name).select("*", file.alias("file"), F.col("_metadata.row_index").alias("row"))

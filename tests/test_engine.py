@@ -162,6 +162,14 @@ def test_cell_histograms_sum_in_stored_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_cell_histograms_take_files_by_name(spark, tmp_path):
+    """Spark gives the paths as URLs, where a space, # and % are escaped and sort otherwise."""
+    cells_in_files(tmp_path)
+    for i, name in enumerate(("a!b", "a b", "a$b", "a#b", "a+b %", "a%2Bb")):
+        (tmp_path / "lineitem.parquet" / f"part-{i}.parquet").rename(tmp_path / "lineitem.parquet" / f"{name}.parquet")
+    same_as_sql_in_one_thread(spark, tmp_path, "cell_npn_cpn_pn")
+
+
 def test_nuclei_sum_in_stored_order(spark, tmp_path):
     cells_in_files(tmp_path)
     same_as_sql_in_one_thread(spark, tmp_path, "nuclear_population")
